@@ -79,7 +79,7 @@ def summarize(df: DataFrame) -> DataFrame:
     return df.withColumn("breaking_change", breaking).withColumns({
         "drift_detected": drifted,
         "schema_valid": ~F.col("breaking_change"),
-        "drift_type": F.when(drifted, v[0]["violation_type"]),
+        "drift_type": F.get(v, 0)["violation_type"],
         "compatibility": F.when(F.col("breaking_change"), NONE).when(drifted, BACKWARD)
         .otherwise(FULL),
         "recommended_action": F.when(F.col("breaking_change"), REJECT).otherwise(AUTO_EVOLVE),

@@ -187,7 +187,7 @@ def rule_results(schema_id: Column, inputs: Column, rules: dict[str, list[Rule]]
         if not listed:
             continue
         place = {name: i for i, name in enumerate(_fields(listed))}
-        values = {name: Value(*(inputs[i][part] for part in ("absent", "text", "number")))
+        values = {name: Value(*(F.get(inputs, i)[part] for part in ("absent", "text", "number")))
                   for name, i in place.items()}
         results = F.array(*[r.result(values[r.field]) for r in listed]).cast(RESULTS_TYPE)
         out = F.when(schema_id == sid, results).otherwise(out)
