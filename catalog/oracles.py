@@ -460,3 +460,14 @@ _sql("lineitem_verdicts", LINE_GROUPS, f"""SELECT '{LINEITEM.schema_id}' AS sche
   CAST(1.0 AS DOUBLE) AS mean_score, CAST(0 AS BIGINT) AS drifted FROM (
     SELECT count(*) AS n FROM firsts
     UNION ALL SELECT coalesce(sum(expected_count), 0) FROM states WHERE status = 'SUCCESS')""")
+
+# --- streams ----------------------------------------------------------------------------
+
+ORACLES["stream_group_status"] = ORACLES["group_status"]
+_sql("stream_events", GROUPS, f"""SELECT
+  CASE WHEN s.status = 'FAIL' THEN 'incomplete' ELSE 'event' END AS kind, f.trade_group_id, {_TID},
+  CASE WHEN s.status IS NULL THEN 'DLQ_ROUTED' WHEN s.status = 'SUCCESS' THEN 'SUCCESS' END AS outcome,
+  CASE WHEN s.status IS NULL THEN 'NO_CONTROL_DOC' END AS failure_reason
+  FROM flagged f LEFT JOIN states s USING (g) WHERE copy = 0 AND NOT lost""")
+_sql("stream_dedup", GROUPS, """SELECT CAST(o_orderkey AS VARCHAR) AS idempotency_key, event_id,
+  trade_group_id FROM flagged WHERE copy = 0 AND NOT lost""")

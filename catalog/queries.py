@@ -18,9 +18,12 @@ from sluice.plans import ingest
 from sluice.plans.query import QueryFilter, count_rows, page, filtered
 from sluice.session import configure, stage, work_dir
 from sluice.sources.lake import DATA, QUARANTINE, scan_lake, write_lake
+from sluice.sources.records import stream_records
 from sluice.sources.registry import load_registry
 from sluice.sources.tables import ARRIVAL, read_csv
 from sluice.spec import LINEITEM, ORDERS
+from sluice.streaming import run
+from sluice.streaming.run import control_stream, decide_stream, use_rocksdb
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -676,3 +679,71 @@ def _verdict_counts(validated):
 
 # --- streams ----------------------------------------------------------------------------
 
+def _record_tables(spark, sf_dir):
+    """Order records with group faults and their control records, stored as tables.
+
+    A last record on either side, sent three hours later, moves the stream's clock past
+    all deadlines (the slower side sets the pace); it belongs to a group of its own.
+    """
+    root = f"{work_dir(spark)}/records/{uuid.uuid4().hex}"
+    modulus, rest = fx.GROUP_WITHOUT_CONTROL
+    control = fx.published(fx.orders_rows(spark, sf_dir), ORDERS).control.where(
+        fx.group_number("key") % modulus != rest)
+
+    def clock(value: str):
+        return control.limit(1).withColumns({
+            "key": F.lit("clock"), "value": F.lit(value),
+            "timestamp": F.col("timestamp") + F.expr("INTERVAL 3 HOURS")})
+
+    publish.append_records(control, f"{root}/control")
+    publish.append_records(fx.orders_with_group_faults(spark, sf_dir), f"{root}/events")
+    publish.append_records(clock(
+        '{"trade_group_id":"clock","expected_count":0,"trade_ids":[]}'), f"{root}/control")
+    publish.append_records(clock(
+        '{"trade_group_id":"clock","trade_id":"tick","idempotency_key":"tick"}'), f"{root}/events")
+    return f"{root}/events", f"{root}/control"
+
+
+def _stream_decisions(spark, sf_dir):
+    """Decisions of the streaming job over the stored records, run until they are used up."""
+    use_rocksdb(spark)
+    events, control = _record_tables(spark, sf_dir)
+    out = f"{work_dir(spark)}/stream/{uuid.uuid4().hex}"
+    decisions = decide_stream(
+        stream_records(spark, events), control_stream(stream_records(spark, control)), fx.CFG,
+        event_time=True)
+    job = (decisions.writeStream.format("parquet").option("path", f"{out}/decisions")
+           .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    job.awaitTermination()
+    return spark.read.schema(decisions.schema).parquet(f"{out}/decisions")
+
+
+@query
+def stream_group_status(spark, sf_dir):
+    groups = _stream_decisions(spark, sf_dir).where("kind = 'group' AND trade_group_id <> 'clock'")
+    return groups.select(
+        "trade_group_id", "status", "expected_count", F.col("actual_count").cast("bigint"),
+        F.col("missing_count").cast("bigint"))
+
+
+@query
+def stream_events(spark, sf_dir):
+    """Every event the stream settled, whatever became of it."""
+    return _stream_decisions(spark, sf_dir).where("kind <> 'group' AND trade_group_id <> 'clock'").select(
+        "kind", "trade_group_id", "trade_id", "outcome", "failure_reason")
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """First event per key of the record stream."""
+    events, _ = _record_tables(spark, sf_dir)
+    out = f"{work_dir(spark)}/stream/{uuid.uuid4().hex}"
+    parsed = intake.taken_in(intake.parse_events(stream_records(spark, events)))
+    timed = parsed.withColumn("sent", F.col("timestamp").cast("timestamp"))
+    once_each = run.stream_dedup(timed, "idempotency_key", fx.CFG, time="sent").select(
+        "idempotency_key", "event_id", "trade_group_id")
+    job = (once_each.writeStream.format("parquet").option("path", f"{out}/events")
+           .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    job.awaitTermination()
+    return spark.read.schema(once_each.schema).parquet(f"{out}/events").where(
+        "trade_group_id <> 'clock'")

@@ -11,6 +11,8 @@ def once(df: DataFrame, name: str, expression: Column) -> DataFrame:
 
     The optimizer copies the expression of a plain column into every filter it pushes
     down, so JSON would be parsed again for each mention. It does not push filters
-    through ``explode``, here of a list of one.
+    through ``explode``, here of a list of one. The expression itself stays in a
+    projection, where it is compiled.
     """
-    return df.select("*", F.explode(F.array(expression)).alias(name))
+    made = df.withColumn("_made", expression)
+    return made.select(*df.columns, F.explode(F.array("_made")).alias(name))

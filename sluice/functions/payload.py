@@ -20,56 +20,42 @@ def as_map(json_text: Column) -> Column:
     )
 
 
-def kinds(payload: Column) -> Column:
-    """Variant type name of every key, as a map; JSON null is ``VOID``."""
-    return F.transform_values(payload, lambda _, v: F.schema_of_variant(v))
-
-
 def is_absent(kind: Column) -> Column:
     """True when the key is missing or its value is JSON null."""
     return kind.isNull() | (kind == "VOID")
 
 
 def json_type(kind: Column) -> Column:
-    """``string``, ``number``, ``boolean``, or ``unknown`` for null, list and object."""
+    """JSON type of a variant type name: ``string``, ``number``, ``boolean``, or
+    ``unknown`` for null, list and object."""
     return (
         F.when(kind == "STRING", "string")
-        .when((kind == "BIGINT") | (kind == "DOUBLE") | (kind == "FLOAT")
-              | kind.startswith("DECIMAL"), "number")
+        .when((kind == "BIGINT") | kind.startswith("DECIMAL") | (kind == "DOUBLE")
+              | (kind == "FLOAT"), "number")
         .when(kind == "BOOLEAN", "boolean")
         .otherwise("unknown")
     )
 
 
-def _number(value: Column, kind: Column) -> Column:
-    return F.when(json_type(kind) == "number", F.try_variant_get(value, "$", "double"))
+def typed_key(name: Column, json_type_name: Column) -> Column:
+    return F.concat(name, F.lit(":"), json_type_name)
 
 
-def _text(value: Column, kind: Column) -> Column:
-    """Whole numbers plainly, other numbers in double notation, null when absent.
+NULL_TYPE = "null"
 
-    The variant reader drops the zeros of ``100.0``, so a decimal without fraction that
-    would fit a long was written as a floating number and is printed as one.
-    """
-    digits = F.regexp_extract(kind, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
-    floating = F.when(kind.startswith("DECIMAL"), F.coalesce(digits <= 18, F.lit(True))).otherwise(
-        (kind == "DOUBLE") | (kind == "FLOAT"))
-    return (
-        F.when(is_absent(kind), F.lit(None).cast("string"))
-        .when(floating, F.try_variant_get(value, "$", "double").cast("string"))
-        .otherwise(F.try_variant_get(value, "$", "string"))
-    )
 
+def typed_keys(payload: Column) -> Column:
+    """All keys of a payload with their JSON types, as texts like ``amount:number``.
 
-def typed_values(names: list[str], payload: Column, kind_map: Column) -> Column:
-    """The named payload values, in order, as ``array<struct<absent,text,number>>``."""
-    found = F.transform(F.array(*map(F.lit, names)), lambda n: F.struct(
-        F.try_element_at(payload, n).alias("value"),
-        F.try_element_at(kind_map, n).alias("kind")))
-    return F.transform(found, lambda f: F.struct(
-        is_absent(f["kind"]).alias("absent"),
-        _text(f["value"], f["kind"]).alias("text"),
-        _number(f["value"], f["kind"]).alias("number")))
+    A JSON null has the type ``null`` here, unlike in violations.
+    """
+    kinds = F.transform(F.map_entries(payload), lambda e: F.struct(
+        e["key"].alias("key"), F.schema_of_variant(e["value"]).alias("kind")))
+    return F.transform(kinds, lambda k: typed_key(
+        k["key"], F.when(k["kind"] == "VOID", NULL_TYPE).otherwise(json_type(k["kind"]))))
 
 
-TYPED = "array<struct<absent:boolean,text:string,number:double>>"
+def texts(json_text: Column, names: list[str]) -> Column:
+    """The named members as a struct of texts; null where missing or JSON null."""
+    schema = ", ".join(f"`{n}` string" for n in names)
+    return F.from_json(json_text, schema)

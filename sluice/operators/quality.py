@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.once import once
-from sluice.functions.payload import TYPED, typed_values
+from sluice.functions.payload import texts
 from sluice.functions.text import is_iso_date, not_blank
 from sluice.spec import BANKING, LINEITEM, ORDERS, SEVERITY_WEIGHT
 
@@ -129,8 +129,9 @@ def non_negative(field: str, severity: str, schema_id: str) -> Rule:
 
 
 def _whole(number: Column) -> Column:
-    """Number cut to a whole one, held within the 32-bit range."""
-    return F.greatest(F.lit(-2147483648.0), F.least(F.lit(2147483647.0), number)).cast("int")
+    """Number cut to a whole one, held within the 32-bit range; null stays null."""
+    held = F.greatest(F.lit(-2147483648.0), F.least(F.lit(2147483647.0), number))
+    return F.when(number.isNotNull(), held.cast("int"))
 
 
 def in_range(field: str, low: int, high: int, severity: str, schema_id: str) -> Rule:
@@ -166,48 +167,52 @@ RULES: dict[str, list[Rule]] = {
 }
 
 
-def _fields(rules: list[Rule]) -> list[str]:
-    return list(dict.fromkeys(r.field for r in rules))
+def rule_fields(rules: dict[str, list[Rule]]) -> list[str]:
+    """Payload fields the rules look at, each once."""
+    return list(dict.fromkeys(r.field for listed in rules.values() for r in listed))
 
 
-def rule_inputs(schema_id: Column, payload: Column, kind_map: Column,
-                rules: dict[str, list[Rule]]) -> Column:
-    """The payload values the rules of the event's schema look at."""
-    out = F.array().cast(TYPED)
-    for sid, listed in rules.items():
-        if listed:
-            out = F.when(schema_id == sid, typed_values(_fields(listed), payload, kind_map)).otherwise(out)
-    return out
+def rule_values(payload_texts: Column, payload_types: Column, fields: list[str]) -> Column:
+    """Struct of the fields' values as rules see them."""
+    def value(name: str) -> Column:
+        text = payload_texts[name]
+        is_number = F.array_contains(payload_types, F.lit(f"{name}:number"))
+        return F.struct(
+            text.isNull().alias("absent"),
+            text.alias("text"),
+            F.when(is_number, text.try_cast("double")).alias("number"),
+        ).alias(name)
 
+    return F.struct(*map(value, fields))
 
-def rule_results(schema_id: Column, inputs: Column, rules: dict[str, list[Rule]]) -> Column:
+
+def rule_results(schema_id: Column, values: Column, rules: dict[str, list[Rule]]) -> Column:
     """Results of the rules that apply to the event's schema; none for other schemas."""
-    out = F.array().cast(RESULTS_TYPE)
+    out = F.when(F.lit(False), F.array().cast(RESULTS_TYPE))
     for sid, listed in rules.items():
-        if not listed:
-            continue
-        place = {name: i for i, name in enumerate(_fields(listed))}
-        values = {name: Value(*(F.get(inputs, i)[part] for part in ("absent", "text", "number")))
-                  for name, i in place.items()}
-        results = F.array(*[r.result(values[r.field]) for r in listed]).cast(RESULTS_TYPE)
-        out = F.when(schema_id == sid, results).otherwise(out)
-    return out
-
-
-def _weight(severity: Column) -> Column:
-    out = F.lit(0)
-    for name, points in SEVERITY_WEIGHT.items():
-        out = F.when(severity == name, points).otherwise(out)
-    return out
+        if listed:
+            out = out.when(schema_id == sid, F.array(*[
+                r.result(Value(*(values[r.field][part] for part in ("absent", "text", "number"))))
+                for r in listed]))
+    return out.otherwise(F.array().cast(RESULTS_TYPE))
 
 
-def score(results: Column) -> Column:
+def score(schema_id: Column, results: Column, rules: dict[str, list[Rule]]) -> Column:
     """Passed weight over total weight; 0.0 after a critical failure, 1.0 without rules."""
-    critical = F.exists(results, lambda r: (r["severity"] == "CRITICAL") & ~r["passed"])
-    total = F.aggregate(results, F.lit(0), lambda acc, r: acc + _weight(r["severity"]))
-    won = F.aggregate(results, F.lit(0), lambda acc, r: acc + F.when(
-        r["passed"], _weight(r["severity"])).otherwise(0))
-    return F.when(critical, F.lit(0.0)).when(total > 0, won / total).otherwise(F.lit(1.0))
+    out = F.when(F.size(results) == 0, 1.0)
+    for sid, listed in rules.items():
+        if not listed:
+            continue
+        passed = [F.get(results, i)["passed"] for i in range(len(listed))]
+        critical = F.lit(False)
+        won = F.lit(0)
+        for rule, ok in zip(listed, passed):
+            if rule.severity == "CRITICAL":
+                critical = critical | ~ok
+            won = won + F.when(ok, SEVERITY_WEIGHT[rule.severity]).otherwise(0)
+        total = sum(SEVERITY_WEIGHT[r.severity] for r in listed)
+        out = out.when(schema_id == sid, F.when(critical, 0.0).otherwise(won / F.lit(total)))
+    return out.otherwise(1.0)
 
 
 def failed_rules(results: Column, with_severity: bool = False) -> Column:
@@ -227,18 +232,19 @@ def check_quality(events: DataFrame, threshold: float = 0.7,
     score and threshold 0.0, not passed.
     """
     rules = RULES if rules is None else rules
+    fields = rule_fields(rules)
     skipped = F.col("breaking_change") if "breaking_change" in events.columns else F.lit(False)
-    inputs = rule_inputs(F.col("schema_id"), F.col("payload_map"), F.col("payload_kinds"), rules)
-    ready = once(events, "rule_inputs", F.when(~skipped, inputs).otherwise(F.array().cast(TYPED)))
-    results = rule_results(F.col("schema_id"), F.col("rule_inputs"), rules)
-    checked = once(
-        ready, "rule_results", F.when(skipped, F.array().cast(RESULTS_TYPE)).otherwise(results)
-    ).drop("rule_inputs")
-    return (
-        checked.withColumn("quality_score",
-                    F.when(skipped, F.lit(0.0)).otherwise(score(F.col("rule_results"))))
-        .withColumn("quality_threshold",
-                    F.when(skipped, F.lit(0.0)).otherwise(F.lit(float(threshold))))
-        .withColumn("quality_passed",
-                    ~skipped & (F.col("quality_score") >= F.lit(float(threshold))))
-    )
+    read = once(events, "_texts", F.when(~skipped, texts(F.col("payload"), fields)))
+    seen = once(read, "_values", rule_values(F.col("_texts"), F.col("payload_types"), fields))
+    none = F.array().cast(RESULTS_TYPE)
+    results = rule_results(F.col("schema_id"), F.col("_values"), rules)
+    checked = once(seen, "rule_results", F.when(skipped, none).otherwise(results)).drop(
+        "_texts", "_values")
+    points = score(F.col("schema_id"), F.col("rule_results"), rules)
+    limit = F.lit(float(threshold))
+    return checked.withColumn(
+        "quality_score", F.when(skipped, 0.0).otherwise(points)
+    ).withColumns({
+        "quality_threshold": F.when(skipped, 0.0).otherwise(limit),
+        "quality_passed": ~skipped & (F.col("quality_score") >= limit),
+    })

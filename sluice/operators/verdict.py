@@ -56,7 +56,7 @@ def validate(events: DataFrame, registry: Registry, ingestion_time: Column | str
              cfg: PipelineConfig) -> DataFrame:
     """Drift, quality and verdict of every event; one pass, no shuffle."""
     checked = check_quality(check_drift(events, registry), cfg.quality_threshold)
-    judged = checked.drop("payload_map", "payload_kinds").withColumn(
+    judged = checked.drop("payload_types").withColumn(
         "validation_status", verdict(F.col("breaking_change"), F.col("quality_score")))
     return enrich(judged.withColumn("rejection_reason", rejection_reason()), ingestion_time, cfg)
 

@@ -46,8 +46,11 @@ _EVENT_STATE = (
 _CHUNK = 1000
 
 
+_Decision = Row(*_OUT)
+
+
 def _row(**values) -> Row:
-    return Row(*[values.get(name) for name in _OUT])
+    return _Decision(*[values.get(name) for name in _OUT])
 
 
 class GroupProcessor(StatefulProcessor):
