@@ -180,7 +180,7 @@ def rule_values(payload_texts: Column, payload_types: Column, fields: list[str])
         return F.struct(
             text.isNull().alias("absent"),
             text.alias("text"),
-            F.when(is_number, text.try_cast("double")).alias("number"),
+            F.when(text.isNotNull(), F.when(is_number, text.try_cast("double"))).alias("number"),
         ).alias(name)
 
     return F.struct(*map(value, fields))
@@ -232,14 +232,8 @@ def check_quality(events: DataFrame, threshold: float = 0.7,
     score and threshold 0.0, not passed.
     """
     rules = RULES if rules is None else rules
-    fields = rule_fields(rules)
     skipped = F.col("breaking_change") if "breaking_change" in events.columns else F.lit(False)
-    read = once(events, "_texts", F.when(~skipped, texts(F.col("payload"), fields)))
-    seen = once(read, "_values", rule_values(F.col("_texts"), F.col("payload_types"), fields))
-    none = F.array().cast(RESULTS_TYPE)
-    results = rule_results(F.col("schema_id"), F.col("_values"), rules)
-    checked = once(seen, "rule_results", F.when(skipped, none).otherwise(results)).drop(
-        "_texts", "_values")
+    checked = _with_results(events, skipped, rules)
     points = score(F.col("schema_id"), F.col("rule_results"), rules)
     limit = F.lit(float(threshold))
     return checked.withColumn(
@@ -248,3 +242,15 @@ def check_quality(events: DataFrame, threshold: float = 0.7,
         "quality_threshold": F.when(skipped, 0.0).otherwise(limit),
         "quality_passed": ~skipped & (F.col("quality_score") >= limit),
     })
+
+
+def _with_results(events: DataFrame, skipped: Column, rules: dict[str, list[Rule]]) -> DataFrame:
+    fields = rule_fields(rules)
+    none = F.array().cast(RESULTS_TYPE)
+    if not fields:
+        return events.withColumn("rule_results", none)
+    read = once(events, "_texts", F.when(~skipped, texts(F.col("payload"), fields)))
+    seen = once(read, "_values", rule_values(F.col("_texts"), F.col("payload_types"), fields))
+    results = rule_results(F.col("schema_id"), F.col("_values"), rules)
+    return once(seen, "rule_results", F.when(skipped, none).otherwise(results)).drop(
+        "_texts", "_values")

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators import intake, ledger, publish, retry, verdict
-from sluice.session import stage
+from sluice.session import drop_run, stage
 from sluice.sources.lake import (
     DATA, QUARANTINE, lake_path, write_dead_letters, write_lake,
 )
 from sluice.sources.registry import Registry
 from sluice.sources.tables import ARRIVAL
-from sluice.spec import DatasetSpec, PipelineConfig, SUCCESS
+from sluice.spec import (
+    PASSED, QUARANTINED, REJECTED, SUCCESS, DatasetSpec, PipelineConfig,
+)
 
 RETRIES = "retry"
 
@@ -30,15 +33,16 @@ class Settled:
 
 
 def settle(keys: DataFrame, control: DataFrame, cfg: PipelineConfig,
-           seen: DataFrame | None = None) -> Settled:
+           seen: DataFrame | None = None, run: str | None = None) -> Settled:
     """Decide which events are taken in and which groups are whole.
 
     ``control`` holds one document per group (see ``control_table``). Keys and decisions
     are used several times, so these narrow tables are staged: the JSON they come from
     is parsed once.
     """
-    control = stage(control, "control")
-    decided = stage(intake.decide(stage(keys, "keys"), control, cfg, seen), "decided")
+    control = stage(control, "control", run=run)
+    keys = stage(keys, "keys", run=run)
+    decided = stage(intake.decide(keys, control, cfg, seen), "decided", run=run)
     slot = ledger.slots(decided.where(F.col("outcome") == SUCCESS), control)
     status = ledger.group_status(slot, control)
     return Settled(control, slot, status, ledger.close_groups(decided, status, cfg))
@@ -67,11 +71,18 @@ def validated_table(df: DataFrame, spec: DatasetSpec, registry: Registry,
 
 @dataclass(frozen=True)
 class IngestResult:
-    """Frames over staged tables, for reports; nothing here is recomputed from the source."""
+    """Frames over staged tables, for reports; nothing here is recomputed from the source.
+
+    ``discard`` removes the staged tables once the reports are done.
+    """
 
+    run: str
     settled: Settled
     validated: DataFrame
 
+    def discard(self) -> None:
+        drop_run(self.validated.sparkSession, self.run)
+
 
 def ingest(records: DataFrame, control: DataFrame, root: str, registry: Registry,
            ingestion_time: str, now_ms: int, cfg: PipelineConfig,
@@ -81,19 +92,39 @@ def ingest(records: DataFrame, control: DataFrame, root: str, registry: Registry
     The validated events are staged once, by verdict, so that each output reads only
     its own share.
     """
+    run = uuid.uuid4().hex
     parsed = intake.parse_events(records)
-    settled = settle(intake.event_keys(parsed, cfg), control_table(control), cfg, seen)
-    status = stage(settled.status, "status")
-    decisions = stage(settled.decisions, "decisions")
+    settled = settle(intake.event_keys(parsed, cfg), control_table(control), cfg, seen, run)
+    status = stage(settled.status, "status", run=run)
+    decisions = stage(settled.decisions, "decisions", run=run)
 
     ready = ledger.ready_events(intake.taken_in(parsed), settled.slots, status)
     validated = stage(verdict.validate(ready, registry, ingestion_time, cfg), "validated",
-                      by=["validation_status"])
-    write_lake(verdict.passed(validated), root, DATA, cfg)
-    write_lake(verdict.quarantined(validated), root, QUARANTINE, cfg)
-    write_dead_letters(verdict.rejected_records(validated, cfg), root)
+                      by=["validation_status"], run=run)
+    _write_validated(validated, root, cfg)
     write_dead_letters(ledger.failed_group_records(status), root)
-    write_dead_letters(intake.dead_letters(records, decisions), root)
-    retry.retry_records(records, decisions, now_ms, cfg).drop(ARRIVAL).write.mode(
-        "append").parquet(lake_path(root, RETRIES))
-    return IngestResult(Settled(settled.control, settled.slots, status, decisions), validated)
+    _write_unsettled(records, decisions, root, now_ms, cfg)
+    return IngestResult(run, Settled(settled.control, settled.slots, status, decisions), validated)
+
+
+def _write_validated(validated: DataFrame, root: str, cfg: PipelineConfig) -> None:
+    """Each verdict to its place; one that never occurred costs no job."""
+    counts = {r["validation_status"]: r["count"]
+              for r in validated.groupBy("validation_status").count().collect()}
+    if counts.get(PASSED):
+        write_lake(verdict.passed(validated), root, DATA, cfg)
+    if counts.get(QUARANTINED):
+        write_lake(verdict.quarantined(validated), root, QUARANTINE, cfg)
+    if counts.get(REJECTED):
+        write_dead_letters(verdict.rejected_records(validated, cfg), root)
+
+
+def _write_unsettled(records: DataFrame, decisions: DataFrame, root: str, now_ms: int,
+                     cfg: PipelineConfig) -> None:
+    """Dead letters and retry records of raw events; the records are read only if any."""
+    counts = intake.outcome_counts(decisions).first()
+    if counts["dlq_routed"]:
+        write_dead_letters(intake.dead_letters(records, decisions), root)
+    if counts["retry_routed"]:
+        retry.retry_records(records, decisions, now_ms, cfg).drop(ARRIVAL).write.mode(
+            "append").parquet(lake_path(root, RETRIES))

@@ -60,17 +60,29 @@ def work_dir(spark: SparkSession) -> str:
     return made
 
 
-def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, by: list[str] | None = None,
+          run: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts lineage so that several consumers share one computation, and survives the
     loss of executors, since the rows live in files. ``by`` splits the table into
-    folders, so that a consumer of one value reads only its share.
+    folders, so that a consumer of one value reads only its share. Tables of one
+    ``run`` lie together, so that ``drop_run`` can remove them.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/stage/{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark, run or 'shared')}/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def run_dir(spark: SparkSession, run: str) -> str:
+    return f"{work_dir(spark)}/stage/{run}"
+
+
+def drop_run(spark: SparkSession, run: str) -> None:
+    """Remove the staged tables of a run once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark, run))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
