@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import time
 from dataclasses import dataclass, fields
 from typing import Any
@@ -184,24 +185,29 @@ def seek(rows: DataFrame, offset: int) -> tuple[DataFrame, int]:
     return rows, offset
 
 
-def scanned_path(root: str, flt: QueryFilter) -> str:
-    """The deepest folder that holds all rows of the filter, for the reader's information."""
-    path = lake_path(root, flt.prefix)
+def folder_of(flt: QueryFilter) -> str:
+    """The deepest folder that holds all rows of the filter, below its prefix."""
+    parts = []
     for name in ("year", "month", "day", "hour"):
         value = getattr(flt, name)
         if value is None:
-            return path
-        path += f"/{name}={value}" if name == "year" else f"/{name}={value:02d}"
-    if flt.source is not None and flt.source.strip():
-        path += f"/source={flt.source}"
-    return path
+            return "/".join(parts)
+        parts.append(f"year={value}" if name == "year" else f"{name}={value:02d}")
+    if flt.source is not None and re.fullmatch(r"[\w-]+", flt.source):
+        parts.append(f"source={flt.source}")  # other characters are escaped in paths
+    return "/".join(parts)
+
+
+def scanned_path(root: str, flt: QueryFilter) -> str:
+    folder = folder_of(flt)
+    return lake_path(root, flt.prefix) + (f"/{folder}" if folder else "")
 
 
 def run_query(spark: SparkSession, root: str, flt: QueryFilter) -> QueryResult:
     """Execute a filter: total count and one page, the only rows that reach the driver."""
     started = time.monotonic()
     try:
-        lake = scan_lake(spark, root, flt.prefix)
+        lake = scan_lake(spark, root, flt.prefix, folder_of(flt))
         total = count_rows(lake, flt).first()["total_rows"]
         found = page(lake, flt)
         rows = [r.asDict(recursive=True) for r in found.collect()]  # at most page_size rows

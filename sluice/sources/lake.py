@@ -27,28 +27,51 @@ def lake_path(root: str, prefix: str) -> str:
     return f"{root.rstrip('/')}/{strip_slashes(prefix)}"
 
 
-def scan_lake(spark: SparkSession, root: str, prefix: str = DATA) -> DataFrame:
-    """All stored records under a prefix; partition folders become columns."""
-    return spark.read.schema(LAKE_TYPE).parquet(lake_path(root, prefix))
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scan_lake(spark: SparkSession, root: str, prefix: str = DATA,
+              folder: str = "") -> DataFrame:
+    """Stored records under a prefix; partition folders become columns.
+
+    ``folder`` (such as ``year=2024/month=06``) limits the listing of files to a part of
+    the lake, which matters when the lake has very many; one that is missing is empty.
+    """
+    base = lake_path(root, prefix)
+    if not folder:
+        return spark.read.schema(LAKE_TYPE).parquet(base)
+    target, fs = _file_system(spark, f"{base}/{folder}")
+    if not fs.exists(target):
+        return spark.createDataFrame([], LAKE_TYPE)
+    return spark.read.schema(LAKE_TYPE).option("basePath", base).parquet(f"{base}/{folder}")
+
+
+def newest_folder(spark: SparkSession, root: str, prefix: str) -> str | None:
+    """Folder of the newest hour under a prefix, found by listing one level at a time."""
+    base, folder = lake_path(root, prefix), ""
+    for level in PARTITION_FIELDS[:-1]:
+        target, fs = _file_system(spark, f"{base}/{folder}")
+        if not fs.exists(target):
+            return None
+        names = [s.getPath().getName() for s in fs.listStatus(target)]
+        names = [n for n in names if n.startswith(f"{level}=")]
+        if not names:
+            return None
+        folder = f"{folder}/{max(names)}" if folder else max(names)
+    return folder
 
 
 def record_bytes(spark: SparkSession, root: str, prefix: str, cfg: PipelineConfig) -> float:
-    """Bytes per record of the prefix's newest partition; a default without history.
+    """Bytes per record of the prefix's newest hour; a default without history.
 
-    One small number from file sizes and row counts, both from the file footers.
+    Only the files of that hour are looked at, and of them only size and row count.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(lake_path(root, prefix))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return float(cfg.default_record_bytes)
-    lake = scan_lake(spark, root, prefix)
-    hour = F.struct("year", "month", "day", "hour")
-    newest = lake.agg(F.max(hour).alias("h")).first()["h"]
-    if newest is None:
+    folder = newest_folder(spark, root, prefix)
+    if folder is None:
         return float(cfg.default_record_bytes)
-    last = lake.where(
-        (F.col("year") == newest["year"]) & (F.col("month") == newest["month"])
-        & (F.col("day") == newest["day"]) & (F.col("hour") == newest["hour"]))
+    last = scan_lake(spark, root, prefix, folder)
     got = files(last).agg(F.sum("bytes").alias("b"), F.sum("records").alias("n")).first()
     return got["b"] / got["n"] if got["n"] else float(cfg.default_record_bytes)
 

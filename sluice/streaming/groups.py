@@ -53,6 +53,18 @@ def _row(**values) -> Row:
     return _Decision(*[values.get(name) for name in _OUT])
 
 
+def _chunks(rows) -> Iterator[list]:
+    """Rows as tuples, a bounded number at a time."""
+    chunk: list = []
+    for row in rows:
+        chunk.append(tuple(row))
+        if len(chunk) >= _CHUNK:
+            yield chunk
+            chunk = []
+    if chunk:
+        yield chunk
+
+
 class GroupProcessor(StatefulProcessor):
     """Keyed by ``trade_group_id``; timers follow the clock."""
 
@@ -67,9 +79,12 @@ class GroupProcessor(StatefulProcessor):
         self.handle = handle
         self.control = handle.getValueState(
             "control", "expected_count int, trade_ids array<string>, deadline bigint")
-        # received: events of announced ids; waiting: events without control document
+        # received: events of announced ids; waiting: events without control document, in
+        # the one of two lists that `side` names, so that one can be copied to the other
         self.received = handle.getListState("received", _EVENT_STATE)
-        self.waiting = handle.getListState("waiting", _EVENT_STATE)
+        self.lists = [handle.getListState("waiting_a", _EVENT_STATE),
+                      handle.getListState("waiting_b", _EVENT_STATE)]
+        self.side = handle.getValueState("side", "side int")
         self.strays = handle.getMapState(
             "strays", "trade_id string",
             "key string, value string, topic string, attempt_count int, arrival bigint")
@@ -113,17 +128,24 @@ class GroupProcessor(StatefulProcessor):
         self.control.update((doc.expected_count, list(doc.trade_ids), deadline))
         self.tally.update((0, None))
         self.handle.registerTimer(deadline)
-        if self.waiting.exists():
-            held = [tuple(e) for e in self.waiting.get()]
-            self.waiting.clear()
-            self._take(held)
+        waiting = self._waiting()
+        if waiting.exists():
+            for held in _chunks(waiting.get()):
+                self._take(held)
+            waiting.clear()
+
+    def _side(self) -> int:
+        return self.side.get()[0] if self.side.exists() else 0
+
+    def _waiting(self):
+        return self.lists[self._side()]
 
     def _take(self, events: list) -> None:
         """Put events under their control document, or let them wait for it."""
         if not events:
             return
         if not self.control.exists():
-            self.waiting.appendList(events)
+            self._waiting().appendList(events)
             for due in {e[6] for e in events}:
                 self.handle.registerTimer(due)
             return
@@ -189,7 +211,7 @@ class GroupProcessor(StatefulProcessor):
         due = expiredTimerInfo.getExpiryTimeInMs()
         if self.control.exists() and self.control.get()[2] <= due:
             yield from self._fail(group)
-        if self.waiting.exists():
+        if self._waiting().exists():
             yield from self._give_up(group, due)
 
     def _fail(self, group: str) -> Iterator[Row]:
@@ -205,17 +227,20 @@ class GroupProcessor(StatefulProcessor):
         self._forget()
 
     def _give_up(self, group: str, due: int) -> Iterator[Row]:
-        kept = []
-        for e in self.waiting.get():
-            if e[6] <= due:
-                yield _row(kind=EVENT, trade_group_id=group, trade_id=e[0], key=e[1],
-                           value=e[2], topic=e[3], attempt_count=e[4], arrival=e[5],
-                           outcome=DLQ_ROUTED, failure_reason=NO_CONTROL_DOC)
-            else:
-                kept.append(tuple(e))
-        self.waiting.clear()
-        if kept:
-            self.waiting.appendList(kept)
+        """Dead-letter the events that waited long enough; the others move to the other list."""
+        side = self._side()
+        kept = self.lists[1 - side]
+        for chunk in _chunks(self.lists[side].get()):
+            later = [e for e in chunk if e[6] > due]
+            if later:
+                kept.appendList(later)
+            for e in chunk:
+                if e[6] <= due:
+                    yield _row(kind=EVENT, trade_group_id=group, trade_id=e[0], key=e[1],
+                               value=e[2], topic=e[3], attempt_count=e[4], arrival=e[5],
+                               outcome=DLQ_ROUTED, failure_reason=NO_CONTROL_DOC)
+        self.lists[side].clear()
+        self.side.update((1 - side,))
 
 
 class EventTimeGroupProcessor(GroupProcessor):

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.plans import ingest
 from sluice.operators import intake
@@ -85,3 +86,30 @@ def test_whole_job_writes_lake_and_dead_letters(spark, registry, streams, tmp_pa
     assert sorted(r.headers["failure_reason"] for r in letters.collect()
                   if json.loads(r.value if r.value != "{bad" else "{}").get("trade_group_id") != "clock") == [
         "BATCH_TIMEOUT", "FATAL_PARSE_ERROR", "QUALITY_REJECTED:score=0.00"]
+
+
+def test_control_document_comes_after_its_events(spark, tmp_path):
+    """Events wait in state over micro-batches until their control document arrives."""
+    def put(name, place, value, seconds):
+        (records(spark, [value], times=[seconds]).drop("arrival").withColumn(
+            "offset", F.lit(place).cast("bigint")).coalesce(1)
+         .write.mode("append").parquet(str(tmp_path / name)))
+
+    for place, (event, control, seconds) in enumerate([
+            (event_json("A", "1"), control_json("B", ["1"]), 0),
+            (event_json("A", "2"), control_json("C", ["1"]), 1),
+            (event_json("X", "1"), control_json("A", ["1", "2"]), 2),
+            (event_json("clock", "tick"), control_json("clock", []), HOURS)]):
+        put("events", place, event, seconds)
+        put("control", place, control, seconds)
+    ev = stream_records(spark, str(tmp_path / "events"), max_files=1)
+    ctl = stream_records(spark, str(tmp_path / "control"), max_files=1)
+    out = run.decide_stream(ev, run.control_stream(ctl), CFG, event_time=True)
+    job = (out.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+           .option("checkpointLocation", str(tmp_path / "chk")).trigger(availableNow=True).start())
+    job.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    groups = {r.trade_group_id: r.status for r in got if r.kind == "group"}
+    assert (groups["A"], groups["B"], groups["C"]) == ("SUCCESS", "FAIL", "FAIL")
+    assert {r.trade_id for r in got if r.outcome == "SUCCESS"} == {"1", "2"}
+    assert [r.failure_reason for r in got if r.trade_group_id == "X"] == ["NO_CONTROL_DOC"]
