@@ -95,7 +95,8 @@ def _cut(docs: DataFrame) -> DataFrame:
         F.col("_id").alias("_gone_id"), F.col("_th").alias("_gone_th"), "_gone")
     rows = _rows(docs).withColumn(
         "_n", F.when(F.col("_row.text").isNull(), 0).otherwise(F.size(_all_lines())))
-    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id"))
+    # by a shuffle at every size: what is gone grows with the documents
+    joined = rows.join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_gone_id"))
                        & (F.col("_th") == F.col("_gone_th")), "left")
     # texts that lose nothing are not cut again
     lists = _chunk_lists(joined, F.when(F.isnotnull("_gone"), _all_lines()).otherwise(F.array("_text")))
