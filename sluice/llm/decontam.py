@@ -234,4 +234,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents; rows with null id stay."""
     found = stage(contaminated(docs, benchmark).select(F.col("doc_id").alias("_leak_id")).distinct(), "leaks")
-    return docs.join(found, docs["doc_id"] == F.col("_leak_id"), "left_anti")
+    return docs.join(found.hint("merge"), docs["doc_id"] == F.col("_leak_id"), "left_anti")

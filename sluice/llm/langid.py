@@ -204,5 +204,5 @@ def keep_known(docs: DataFrame) -> DataFrame:
     """``docs`` without texts in no known language (``und``); all columns stay."""
     found = identify(docs).where(F.col("lang_pred") == UNKNOWN).select(
         F.col("doc_id").alias("_bad_id")).distinct()
-    unknown = stage(found, "unknown")
+    unknown = stage(found, "unknown").hint("merge")
     return docs.join(unknown, docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")

@@ -297,4 +297,4 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs).where("doc_id <> component_id").select(
         F.col("doc_id").alias("_copy_id")).distinct()
-    return docs.join(stage(found, "copies"), docs["doc_id"] == F.col("_copy_id"), "left_anti")
+    return docs.join(stage(found, "copies").hint("merge"), docs["doc_id"] == F.col("_copy_id"), "left_anti")
