@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import doc_texts, held_out, text_slices
@@ -22,7 +22,7 @@ from sluice.session import stage
 
 BUCKETS = 1 << 15
 UNIT = 32  # trigrams
-SAMPLE_PER_LANG = 2_000  # documents a language is learned from at most
+SAMPLE_PER_LANG = 2_000  # documents a language is learned from, about
 MAX_LANGS = 200  # most frequent languages learned
 ROUNDS = 15
 PENALTY = 4.0  # a further language costs this many times half the logarithm of the units
@@ -71,21 +71,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame) -> Model:
     """Trigram models from a bounded sample: for each of the ``MAX_LANGS`` most frequent
-    values of ``lang`` the ``SAMPLE_PER_LANG`` learnable documents of smallest id hash.
+    values of ``lang`` about ``SAMPLE_PER_LANG`` learnable documents, those whose id hash
+    falls in the share of the language's documents that this number is.
 
-    What reaches the driver is the model itself: languages times buckets numbers.
+    No language's documents meet in one task, however many they are. What reaches the
+    driver is the model itself: languages times buckets numbers.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    langs = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = usable.join(F.broadcast(langs.select("lang")), "lang").withColumn(
-        "_place", F.row_number().over(order)).where(F.col("_place") <= SAMPLE_PER_LANG)
-    sample = stage(sample.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")), "sample")
-    # bounded: MAX_LANGS * SAMPLE_PER_LANG ids
-    own = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
-    texts = own.join(F.broadcast(sample), (own["doc_id"] == F.col("_id")) & (own["lang"] == F.col("_lang")),
-                     "left_semi").select("lang", "text")
+        F.xxhash64(F.col("doc_id").cast("long")).alias("h"), "lang", F.coalesce("text", F.lit("")).alias("text"))
+    langs = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select(
+        "lang", (F.lit(SAMPLE_PER_LANG) / F.col("count")).alias("share"))
+    # bounded: MAX_LANGS rows
+    texts = usable.join(F.broadcast(langs), "lang").where(
+        F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("lang", "text")
     sums = texts.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(
         F.sum("n").alias("n")).toArrow()
     lang = sums.column("lang").to_pylist()
