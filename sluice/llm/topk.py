@@ -18,9 +18,10 @@ from sluice.session import stage
 
 SCALE = 256
 K = 5
-BLOCK = 8192  # candidates sorted together in one task
+BLOCK = 2048  # candidates sorted together in one task
 QUERIES = 1024  # queries that meet a block in one task
 FIRST_DEPTH = 64  # rows read of each list before the bounds are first compared
+RESOLVED = 32  # reading stops when one candidate in so many is left; these get final scores
 
 
 def scaled(vector: Column) -> Column:
@@ -32,66 +33,76 @@ def scaled(vector: Column) -> Column:
     return F.when(vector.isNotNull() & usable, whole)
 
 
-def best(rows: np.ndarray, ids: np.ndarray, order: np.ndarray, query: np.ndarray,
-         own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and scores of the best k of a block's rows, ties to the smaller id.
+class Lists:
+    """A block of candidates as sorted lists, two per dimension: ascending and descending.
 
-    ``rows`` are (n, d) integers, ``order`` the (d, n) places of each dimension in
-    ascending order, ``own`` marks the rows that are no candidates.
+    Bounds are kept in floating point, with a margin for its rounding; final scores are
+    integers.
     """
-    n, d = rows.shape
-    used = np.nonzero(query)[0]
-    lists = [order[j] if query[j] < 0 else order[j][::-1] for j in used]
-    weight = query[used]
-    # a component read adds what it is worth beyond the list's far end
-    worst = np.array([rows[x[-1], j] * w for x, j, w in zip(lists, used, weight)], dtype=np.int64)
-    lower = np.full(n, worst.sum(), dtype=np.int64)
-    lower[own] = np.iinfo(np.int64).min // 2
-    depth, target, alive = 0, FIRST_DEPTH, ~own
-    while True:
-        target = min(target, n)
-        edge = np.array([rows[x[target - 1], j] * w for x, j, w in zip(lists, used, weight)],
-                        dtype=np.int64)
-        for i, (x, j, w) in enumerate(zip(lists, used, weight)):
-            at = x[depth:target]
-            lower[at] += rows[at, j] * w - worst[i]
-        depth = target
-        if depth == n or not len(used):
-            break
-        # a row may gain up to the edge in every list that it was not read from
-        upper = lower + (edge - worst).sum()
-        for i, x in enumerate(lists):
-            upper[x[:depth]] -= edge[i] - worst[i]
-        live = np.nonzero(alive)[0]
-        if len(live) > k:
-            kth = np.partition(lower[live], len(live) - k)[len(live) - k]
-            alive[live[upper[live] < kth]] = False
-            if alive.sum() <= 4 * k:
-                break
-        target *= 2
-    at = np.nonzero(alive)[0]
-    score = rows[at] @ query
-    top = np.lexsort((ids[at], -score))[:k]
-    return at[top], score[top]
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        self.rows, self.ids = rows, ids
+        order = np.argsort(rows, axis=0, kind="stable")
+        values = np.take_along_axis(rows, order, axis=0).astype(float)
+        self.order = np.concatenate([order.T, order.T[:, ::-1]])  # (2d, n): places in order
+        self.values = np.concatenate([values.T, values.T[:, ::-1]])
+        self.rank = np.argsort(order, axis=0, kind="stable").T.astype(
+            np.uint16 if len(rows) <= 1 << 16 else np.int32)
+
+    def best(self, query: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the best ``k`` rows, ties to the smaller id.
+
+        ``own`` marks the rows that are no candidates.
+        """
+        n, d = self.rows.shape
+        used = np.nonzero(query)[0]
+        weight = query[used].astype(float)[:, None]
+        down = weight[:, 0] > 0  # such lists are read from their large end
+        lists = used + d * down
+        worst = self.values[lists, -1:] * weight
+        margin = 1 + 1e-9 * np.maximum(np.abs(worst), np.abs(self.values[lists, :1] * weight)).sum()
+        lower = np.full(n, worst.sum())
+        lower[own] = -np.inf
+        alive = np.nonzero(~own)[0]
+        depth = 0
+        while len(used) and depth < n and len(alive) > max(k, n // RESOLVED):
+            # four times as deep up to half way, then half of what is left
+            before, depth = depth, min(n, max(FIRST_DEPTH, min(4 * depth, (n + depth + 1) // 2)))
+            read = slice(before, depth)
+            gain = self.values[lists, read] * weight - worst
+            lower += np.bincount(self.order[lists, read].ravel(), gain.ravel(), n)
+            edge = self.values[lists, depth - 1][:, None] * weight
+            kth = np.partition(lower[alive], len(alive) - k)[len(alive) - k] - margin
+            if edge.sum() > kth:
+                continue  # a row not read anywhere might still qualify
+            most = 2 * len(alive) > n  # then it is quicker to look at all rows
+            rank = (self.rank if most else self.rank.take(alive, axis=1))[used]
+            unread = np.where(down[:, None], rank < n - depth, rank >= depth)
+            more = (edge - worst)[:, 0] @ unread.astype(float)
+            alive = alive[lower[alive] + (more[alive] if most else more) >= kth]
+        score = self.rows[alive] @ query
+        top = np.lexsort((self.ids[alive], -score))[:k]
+        return alive[top], score[top]
+
+
+def _matrix(vectors: pa.ListArray) -> np.ndarray:
+    """Vectors as rows, shorter ones padded with zeros."""
+    size = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(size), size.max(initial=0)), dtype=np.int64)
+    out[np.arange(out.shape[1]) < size[:, None]] = vectors.flatten().to_numpy()
+    return out
 
 
 def _search(k: int):
     def run(rows: pa.Table) -> pa.Table:
         is_query = rows.column("is_query").to_numpy()
         ids = rows.column("vec_id").to_numpy()
-        vectors = rows.column("v").to_pylist()
-        width = max(map(len, vectors), default=0)
-        table = np.zeros((len(vectors), width), dtype=np.int64)
-        for i, v in enumerate(vectors):
-            table[i, :len(v)] = v
-        inside, asked = np.nonzero(~is_query)[0], np.nonzero(is_query)[0]
+        table = _matrix(rows.column("v").combine_chunks())
+        lists = Lists(table[~is_query], ids[~is_query])
         out: list[tuple] = []
-        if len(inside) and len(asked):
-            block, block_ids = table[inside], ids[inside]
-            order = np.argsort(block, axis=0, kind="stable").T.copy()
-            for q in asked:
-                at, score = best(block, block_ids, order, table[q], block_ids == ids[q], k)
-                out += [(int(ids[q]), int(block_ids[a]), int(s)) for a, s in zip(at, score)]
+        for q in np.nonzero(is_query)[0] if lists.rows.size else ():
+            at, score = lists.best(table[q], lists.ids == ids[q], k)
+            out += [(int(ids[q]), int(lists.ids[a]), int(s)) for a, s in zip(at, score)]
         q, v, s = zip(*out) if out else ((), (), ())
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()),
                          "score": pa.array(s, pa.int64())})
