@@ -428,7 +428,7 @@ _sql("retry_waiting", REPLAY, f"""SELECT attempt_count, retry_after, count(*) AS
          CAST({fx.NOW_MS} + 2000 * CAST(2 ** attempt_count AS BIGINT) AS VARCHAR)
   FROM replayed WHERE outcome = 'RETRY_ROUTED') GROUP BY ALL""")
 _sql("due_order", REPLAY, """SELECT arrival, due_at AS retry_after FROM replayed
-  ORDER BY due_at, arrival LIMIT 500""")
+  ORDER BY due_at, arrival""")
 _sql("retry_backoff", _decided("arrival % 4"), """SELECT arrival,
   CAST(attempt_count + 1 AS INTEGER) AS next_attempt,
   2000 * CAST(2 ** attempt_count AS BIGINT) AS backoff_ms

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
+from sluice.functions.headers import HEADERS_TYPE
 from sluice.functions.joins import lookup
 from sluice.functions.text import composite_key, two_digits
 from sluice.operators import (
@@ -599,9 +600,9 @@ def retry_waiting(spark, sf_dir):
 
 @query
 def due_order(spark, sf_dir):
-    """First page of the due records, earliest first."""
+    """All due records, earliest first."""
     retries = fx.retried(fx.orders_with_group_faults(spark, sf_dir))
-    return retry.due_records(retries, fx.NOW_MS).limit(500).select(
+    return retry.due_records(retries, fx.NOW_MS).select(
         "arrival", retry.retry_after(fx.NOW_MS).alias("retry_after"))
 
 
@@ -691,9 +692,12 @@ def _record_tables(spark, sf_dir):
         fx.group_number("key") % modulus != rest)
 
     def clock(value: str):
-        return control.limit(1).withColumns({
-            "key": F.lit("clock"), "value": F.lit(value),
-            "timestamp": F.col("timestamp") + F.expr("INTERVAL 3 HOURS")})
+        return spark.range(1).select(
+            F.lit("clock").alias("key"), F.lit(value).alias("value"),
+            F.lit(ORDERS.topics.control).alias("topic"), F.lit(0).alias("partition"),
+            F.lit(0).cast("bigint").alias("offset"),
+            (F.lit(fx.PUBLISHED_AT).cast("timestamp") + F.expr("INTERVAL 3 HOURS")).alias("timestamp"),
+            F.create_map().cast(HEADERS_TYPE).alias("headers"), F.lit(0).cast("bigint").alias("arrival"))
 
     publish.append_records(control, f"{root}/control")
     publish.append_records(fx.orders_with_group_faults(spark, sf_dir), f"{root}/events")

@@ -9,17 +9,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.headers import HEADERS_TYPE
 from sluice.functions.text import stable_id
 from sluice.sources.records import RECORD_TYPE
-from sluice.sources.tables import ARRIVAL, ROW_COLUMNS, ROW_FILE, ROW_INDEX
+from sluice.sources.tables import ARRIVAL, INDEX_BITS, ROW_COLUMNS, ROW_FILE, ROW_INDEX
 from sluice.spec import DatasetSpec
 
-_TASK_BITS = 33  # monotonically_increasing_id keeps the row within its task below 2^33
 
 
 @dataclass(frozen=True)
@@ -136,13 +134,13 @@ def envelope_json(frame: DataFrame) -> Column:
 
 def as_records(frame: DataFrame, key: Column, value: Column, topic: str,
                published_at: str) -> DataFrame:
-    """Frame in the record shape; (task, row) serve as partition and offset."""
+    """Frame in the record shape; (file, row) serve as partition and offset."""
     return frame.select(
         key.alias("key"),
         value.alias("value"),
         F.lit(topic).alias("topic"),
-        F.shiftright(ARRIVAL, _TASK_BITS).cast("int").alias("partition"),
-        F.col(ARRIVAL).bitwiseAND(F.lit((1 << _TASK_BITS) - 1)).alias("offset"),
+        F.shiftright(ARRIVAL, INDEX_BITS).cast("int").alias("partition"),
+        F.col(ARRIVAL).bitwiseAND(F.lit((1 << INDEX_BITS) - 1)).alias("offset"),
         F.lit(published_at).cast("timestamp").alias("timestamp"),
         F.create_map().cast(HEADERS_TYPE).alias("headers"),
         ARRIVAL,
@@ -171,12 +169,12 @@ def publish(df: DataFrame, spec: DatasetSpec, published_at: str) -> Published:
     )
 
 
-def _next_offset(spark: SparkSession, path: str) -> int:
-    """First free offset of a record table; 0 when there is none yet."""
-    try:
-        last = spark.read.schema(RECORD_TYPE).parquet(path).agg(F.max("offset")).first()[0]
-    except AnalysisException:
+def next_free(spark: SparkSession, path: str, number: str) -> int:
+    """First free offset or partition number of a record table; 0 when there is none yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return 0
+    last = spark.read.schema(RECORD_TYPE).parquet(path).agg(F.max(number)).first()[0]
     return 0 if last is None else last + 1
 
 
@@ -185,7 +183,7 @@ def append_records(records: DataFrame, path: str) -> None:
 
     One publisher per table at a time, as offsets are assigned here.
     """
-    base = _next_offset(records.sparkSession, path)
+    base = next_free(records.sparkSession, path, "offset")
     (records.drop(ARRIVAL)
      .withColumn("offset", F.col("offset") + F.lit(base))
      .write.mode("append").parquet(path))

@@ -126,5 +126,14 @@ def _write_unsettled(records: DataFrame, decisions: DataFrame, root: str, now_ms
     if counts["dlq_routed"]:
         write_dead_letters(intake.dead_letters(records, decisions), root)
     if counts["retry_routed"]:
-        retry.retry_records(records, decisions, now_ms, cfg).drop(ARRIVAL).write.mode(
-            "append").parquet(lake_path(root, RETRIES))
+        again = retry.retry_records(records, decisions, now_ms, cfg).drop(ARRIVAL)
+        append_retries(again, lake_path(root, RETRIES))
+
+
+def append_retries(again: DataFrame, path: str) -> None:
+    """Append to the retry table under partition numbers of its own.
+
+    Records of several sources meet there, so their numbers are moved behind those in use.
+    """
+    base = publish.next_free(again.sparkSession, path, "partition")
+    again.withColumn("partition", F.col("partition") + F.lit(base)).write.mode("append").parquet(path)

@@ -149,7 +149,7 @@ def _levels() -> list[Column]:
     """Ever finer cuts of the default order, each with a bounded number of values."""
     time_text, key = F.col("ingestion_time"), F.col("event_id")
     return [
-        F.struct("year", "month", "day", "hour"),
+        F.substring(time_text, 1, 13),
         F.substring(time_text, 1, 19),
         time_text,
         *[F.substring(key, 1, n) for n in (1, 2, 3, 4, 6, 8)],
@@ -160,8 +160,8 @@ def seek(rows: DataFrame, offset: int) -> tuple[DataFrame, int]:
     """Narrow ``rows`` to the part a deep page starts in, and what is left to skip.
 
     Counts rows per hour, second, time and key prefix in turn and drops the parts that
-    lie wholly before the page, so that no task sorts all the skipped rows. The
-    partition hour agrees with the order since it derives from the intake time.
+    lie wholly before the page, so that no task sorts all the skipped rows. All cuts are
+    prefixes of the order's own texts, so they agree with it whatever the times look like.
     """
     inside = F.lit(True)  # the part every cut so far has led to
     for level in _levels():
@@ -176,10 +176,7 @@ def seek(rows: DataFrame, offset: int) -> tuple[DataFrame, int]:
             skipped += row["n"]
         if start is None:  # the page lies behind the last row
             return rows.limit(0), 0
-        if isinstance(start, str):
-            first = F.lit(start)
-        else:
-            first = F.struct(*[F.lit(v).alias(k) for k, v in start.asDict().items()])
+        first = F.lit(start)
         rows, offset = rows.where(~(inside & (level < first))), offset - skipped
         inside = inside & (level == first)
     return rows, offset

@@ -31,28 +31,29 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return with_arrival(spark.read.schema(RECORD_TYPE).parquet(path))
 
 
-def stream_records(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
-    """The same table as a stream; ``max_files`` per trigger bounds each micro-batch."""
-    return with_arrival(
-        spark.readStream.schema(RECORD_TYPE)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(path)
-    )
+def stream_records(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """The same table as a stream; ``max_files`` per trigger, if given, bounds each micro-batch."""
+    reader = spark.readStream.schema(RECORD_TYPE)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return with_arrival(reader.parquet(path))
 
 
-def kafka_options(servers: str, topic: str, max_offsets: int) -> dict[str, str]:
-    """Source options: from the earliest offset, with bounded micro-batches."""
-    return {
+def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:
+    """Source options: from the earliest offset; micro-batches are bounded only if asked."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(max_offsets),
         "includeHeaders": "true",
     }
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    return options
 
 
 def stream_kafka(spark: SparkSession, servers: str, topic: str,
-                 max_offsets: int = 5000) -> DataFrame:
+                 max_offsets: int | None = None) -> DataFrame:
     """Kafka topic as record stream (needs the Kafka connector on the class path)."""
     raw = spark.readStream.format("kafka").options(
         **kafka_options(servers, topic, max_offsets)).load()

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.joins import BROADCAST_ROWS
+
 ROW_FILE = "_row_file"
 ROW_INDEX = "_row_index"
 ARRIVAL = "arrival"
 ROW_COLUMNS = [ROW_FILE, ROW_INDEX, ARRIVAL]
 
+INDEX_BITS = 33  # rows below 2^33 per file
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header row; types by ``schema``, or inferred when none is given."""
@@ -19,20 +26,48 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
+def file_names(files: list[str], path: str) -> list[tuple[str, str, int]]:
+    """Files in order of their paths: URI, path below ``path`` without ending, number.
+
+    Equal file names in different folders so stay apart. A file that does not lie below
+    ``path`` (which may be a pattern) goes by its whole path, a single one by its name.
+    """
+    root = (urlparse(path).path or path).rstrip("/") + "/"
+    out = []
+    for number, uri in enumerate(sorted(files)):
+        whole = unquote(urlparse(uri).path)
+        at = whole.find(root)
+        below = whole[at + len(root):] if at >= 0 else whole
+        if len(files) == 1:
+            below = whole.rsplit("/", 1)[-1]
+        out.append((uri, re.sub(r"\.[^./]*$", "", below), number))
+    return out
+
+
 def read_numbered(spark: SparkSession, path: str, min_tasks: int | None = None) -> DataFrame:
     """Parquet scan with each row's file, its index in the file and its arrival number.
 
-    The index comes from the file itself, so no row has to move to be numbered.
-    ``arrival`` is the pair (task, row in task) as one ascending number. When the scan
-    has fewer tasks than ``min_tasks`` (one row group is one task), the numbered rows
-    are dealt out to that many, since making and reading JSON is costlier than they are.
+    The index comes from the file itself, so no row has to move to be numbered, and a
+    row has the same numbers in every scan: ``arrival`` is the pair (number of the file
+    in path order, index) as one ascending number. When the scan has fewer tasks than
+    ``min_tasks`` (one row group is one task), the numbered rows are dealt out to that
+    many, since making and reading JSON is costlier than they are.
     """
-    rows = spark.read.parquet(path).select(
-        "*",
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias(ROW_FILE),
-        F.col("_metadata.row_index").alias(ROW_INDEX),
-        F.monotonically_increasing_id().alias(ARRIVAL),
-    )
+    scan = spark.read.parquet(path)
+    files = scan.inputFiles()
+    if len(files) > 1:  # as the scan spells them; a row per file, read from footers
+        files = [r[0] for r in scan.select("_metadata.file_path").distinct().collect()]
+    names = file_names(files, path)
+    rows = scan.select("*", F.col("_metadata.file_path").alias("_uri"),
+                       F.col("_metadata.row_index").alias(ROW_INDEX))
+    if len(names) <= 1:
+        name = names[0][1] if names else ""
+        rows = rows.withColumn(ROW_FILE, F.lit(name)).withColumn("_number", F.lit(0))
+    else:
+        table = spark.createDataFrame(names, f"_uri string, {ROW_FILE} string, _number int")
+        rows = rows.join(F.broadcast(table) if len(names) <= BROADCAST_ROWS else table, "_uri")
+    arrival = F.shiftleft(F.col("_number").cast("bigint"), INDEX_BITS) + F.col(ROW_INDEX)
+    rows = rows.select(*scan.columns, ROW_FILE, ROW_INDEX, arrival.alias(ARRIVAL))
     if min_tasks is not None and rows.rdd.getNumPartitions() < min_tasks:
         rows = rows.repartition(min_tasks, ROW_FILE, ROW_INDEX)
     return rows

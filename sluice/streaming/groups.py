@@ -15,12 +15,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql import types as T
 
 from sluice.spec import (
-    BATCH_TIMEOUT, DLQ_ROUTED, GROUP_FAIL, GROUP_SUCCESS, NO_CONTROL_DOC, PipelineConfig,
+    BATCH_TIMEOUT, DLQ_ROUTED, DUPLICATE, GROUP_FAIL, GROUP_SUCCESS, NO_CONTROL_DOC, PipelineConfig,
     SUCCESS,
 )
 
 CONTROL = "control"
 EVENT = "event"
+COPY = "copy"  # an event whose key was marked before; only passes through
 GROUP = "group"
 INCOMPLETE = "incomplete"
 
@@ -39,6 +40,8 @@ DECISION_TYPE = (
     "missing_count int"
 )
 _OUT = [f.split()[0] for f in DECISION_TYPE.split(", ")]
+_MARKED = [f.split()[0] for f in TAGGED_TYPE.split(", ")]
+_Marked = Row(*_MARKED)
 _EVENT_STATE = (
     "trade_id string, key string, value string, topic string, attempt_count int, "
     "arrival bigint, due bigint"
@@ -65,6 +68,42 @@ def _chunks(rows) -> Iterator[list]:
         yield chunk
 
 
+class KeyMarks(StatefulProcessor):
+    """Keyed by idempotency key: the first event marks it, later ones become copies.
+
+    The mark goes when its time to live has passed. Time is the clock's, so no event is
+    ever too old to be decided.
+    """
+
+    def __init__(self, cfg: PipelineConfig):
+        self.ttl_ms = cfg.dedup_ttl_minutes * 60 * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.mark = handle.getValueState("mark", "arrival bigint", ttlDurationMs=self.ttl_ms)
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        """Within a micro-batch the smallest arrival number is the first."""
+        first = None
+        marked = self.mark.exists()
+        for r in rows:
+            if marked or (first is not None and r.arrival > first.arrival):
+                yield self._passed(r, COPY)
+                continue
+            if first is not None:
+                yield self._passed(first, COPY)
+            first = r
+        if first is not None:
+            self.mark.update((first.arrival,))
+            yield self._passed(first, EVENT)
+
+    @staticmethod
+    def _passed(r: Row, kind: str) -> Row:
+        return _Marked(*[kind if name == "kind" else r[name] for name in _MARKED])
+
+
 class GroupProcessor(StatefulProcessor):
     """Keyed by ``trade_group_id``; timers follow the clock."""
 
@@ -108,6 +147,10 @@ class GroupProcessor(StatefulProcessor):
             stamp = max(now, int(r.timestamp.timestamp() * 1000)) if self.event_time else now
             if r.kind == CONTROL:
                 self._register(r, stamp)
+            elif r.kind == COPY:
+                yield _row(kind=EVENT, trade_group_id=group, trade_id=r.trade_id, key=r.key,
+                           value=r.value, topic=r.topic, attempt_count=r.attempt_count,
+                           arrival=r.arrival, outcome=DUPLICATE)
             else:
                 arrived.append((r.trade_id, r.key, r.value, r.topic, r.attempt_count,
                                 r.arrival, stamp + self.wait_ms))

@@ -17,7 +17,8 @@ from sluice.spec import (
     DLQ_ROUTED, FATAL_MISSING_FIELDS, FATAL_PARSE_ERROR, PipelineConfig, SUCCESS,
 )
 from sluice.streaming.groups import (
-    CONTROL, DECISION_TYPE, EVENT, EventTimeGroupProcessor, GROUP, GroupProcessor, TAGGED_TYPE,
+    CONTROL, DECISION_TYPE, EVENT, EventTimeGroupProcessor, GROUP, GroupProcessor, KeyMarks,
+    TAGGED_TYPE,
 )
 
 _TAGGED = [f.split()[0] for f in TAGGED_TYPE.split(", ")]
@@ -48,12 +49,24 @@ def _intake_fields(records: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
-def tagged(events: DataFrame, control: DataFrame) -> DataFrame:
+def _as_tagged() -> list:
+    """An event's columns under the schema it shares with control documents."""
+    return ["trade_group_id", F.lit(EVENT).alias("kind"), "trade_id", "key", "value", "topic",
+            "attempt_count", ARRIVAL, F.lit(None).cast("int").alias("expected_count"),
+            F.lit(None).cast("array<string>").alias("trade_ids"), "timestamp"]
+
+
+def marked_events(fields: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Events with their key's mark looked up: firsts stay events, the others become copies.
+
+    Follows the clock, so that an event of any age gets its decision.
+    """
+    return fields.select("dedup_key", *_as_tagged()).groupBy("dedup_key").transformWithState(
+        KeyMarks(cfg), TAGGED_TYPE, "Append", "ProcessingTime")
+
+
+def tagged(left: DataFrame, control: DataFrame) -> DataFrame:
     """Events and control documents as one stream under one schema."""
-    left = events.select(
-        "trade_group_id", F.lit(EVENT).alias("kind"), "trade_id", "key", "value", "topic",
-        "attempt_count", ARRIVAL, F.lit(None).cast("int").alias("expected_count"),
-        F.lit(None).cast("array<string>").alias("trade_ids"), "timestamp")
     text = F.lit(None).cast("string")
     right = control.select(
         "trade_group_id", F.lit(CONTROL).alias("kind"), text.alias("trade_id"),
@@ -67,12 +80,17 @@ def decide_stream(events: DataFrame, control: DataFrame, cfg: PipelineConfig,
     """Decisions on events and groups as a stream.
 
     Unreadable events and events without their required fields go straight to the dead
-    letters; the rest lose their duplicates and meet their control document in keyed
-    state. ``event_time`` lets timers follow the watermark instead of the clock.
+    letters; the rest is told from its duplicates and meets its control document in keyed
+    state. By the clock every record gets a decision, DUPLICATE included, however late
+    it comes. ``event_time`` lets timers follow the watermark instead, so that a run over
+    stored, timely records can be repeated: there Spark drops what is older than the
+    watermark, and duplicates leave no decision.
     """
     fields = _intake_fields(events, cfg)
     whole = intake.complete()
-    good = stream_dedup(fields.where(whole), "dedup_key", cfg)
+    good = fields.where(whole)
+    good = stream_dedup(good, "dedup_key", cfg).select(*_as_tagged()) if event_time else \
+        marked_events(good, cfg)
     if event_time:
         # Timers are to fire as soon as later events are seen, so the second state has
         # the same watermark as the first; its delay is part of the deadline.
@@ -135,8 +153,11 @@ def run_stream(events: DataFrame, control: DataFrame, root: str, checkpoint: str
                event_time: bool = False, ingestion_time: str | None = None) -> StreamingQuery:
     """Start the job. Offsets and state are checkpointed; sinks are written at least once.
 
-    Without ``available_now`` a micro-batch starts every ``cfg.idle_flush``.
+    Without ``available_now`` a micro-batch starts every ``cfg.idle_flush``. Timers that
+    follow the clock never run out, so ``available_now`` needs ``event_time``.
     """
+    if available_now and not event_time:
+        raise ValueError("available_now needs event_time: clock timers keep the query going")
     decisions = decide_stream(events, control_stream(control), cfg, event_time)
     time = F.lit(ingestion_time) if ingestion_time else iso_utc(F.current_timestamp())
 

@@ -94,6 +94,20 @@ def test_deep_pages_equal_plain_ones(spark, lake, monkeypatch):
         assert [r.event_id for r in query.page(rows, flt).collect()] == plain
 
 
+def test_deep_pages_with_mixed_offsets(spark, monkeypatch):
+    """Intake times with an offset sort as text on shallow and deep pages alike."""
+    times = ["2024-06-01T05:00:00Z", "2024-06-01T23:30:00-05:00", "2024-06-02T01:00:00+09:00"]
+    rows = spark.createDataFrame(
+        [(times[i % 3], f"e{i:04d}", 2024, 6, 1 + i % 2, i % 24, "s") for i in range(300)],
+        "ingestion_time string, event_id string, year int, month int, day int, hour int, source string")
+    whole = [r.event_id for r in rows.orderBy(*query.ORDER).collect()]
+    monkeypatch.setattr(query, "PLAIN_OFFSET", 20)
+    got = []
+    for n in range(1, 8):
+        got += [r.event_id for r in query.page(rows, QueryFilter(page=n, page_size=50)).collect()]
+    assert got == whole
+
+
 def test_file_sizing(spark, lake, tmp_path):
     assert records_per_file(200.0, CFG) == 167_772
     assert records_per_file(1.0, CFG) == 200_000

@@ -99,3 +99,21 @@ def test_store_and_kafka_settings():
     with pytest.raises(ValueError):
         s3a_conf("store:9000", "a", "b")
     assert kafka_options("b:1", "t", 500)["startingOffsets"] == "earliest"
+
+
+def test_equal_file_names_in_different_folders(spark, tmp_path):
+    """Ids, groups and arrival numbers stay apart, and are the same in every scan."""
+    for part in ("x=1", "x 2"):
+        spark.range(100).selectExpr("CAST(id AS STRING) AS transaction_id").coalesce(1).write.parquet(
+            str(tmp_path / "tmp" / part))
+        found = next((tmp_path / "tmp" / part).glob("part-*.parquet"))
+        (tmp_path / "in" / part).mkdir(parents=True)
+        (tmp_path / "in" / part / "part-0.parquet").write_bytes(found.read_bytes())
+    rows = read_numbered(spark, f"{tmp_path}/in/*")
+    sent = publish.publish(rows, SPEC, AT)
+    keys = [r["key"] for r in sent.events.collect()]
+    assert len(keys) == len(set(keys)) == 200
+    first = {(r["_row_file"], r["_row_index"]): r["arrival"] for r in rows.collect()}
+    again = {(r["_row_file"], r["_row_index"]): r["arrival"]
+             for r in read_numbered(spark, f"{tmp_path}/in/*", min_tasks=5).collect()}
+    assert first == again and len(set(first.values())) == 200

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,3 +114,40 @@ def test_control_document_comes_after_its_events(spark, tmp_path):
     assert (groups["A"], groups["B"], groups["C"]) == ("SUCCESS", "FAIL", "FAIL")
     assert {r.trade_id for r in got if r.outcome == "SUCCESS"} == {"1", "2"}
     assert [r.failure_reason for r in got if r.trade_group_id == "X"] == ["NO_CONTROL_DOC"]
+
+
+def test_by_the_clock_every_record_gets_a_decision(spark, tmp_path):
+    """Late events and copies included; nothing falls behind a watermark."""
+    for place, (values, seconds) in enumerate([
+            ([event_json("A", "1"), event_json("A", "1")], 10 * 3600),
+            ([event_json("A", "2"), event_json("A", "1"), "{bad", event_json(None, "1", key="n")], 0)]):
+        (records(spark, values, times=[seconds] * len(values)).drop("arrival").withColumn(
+            "offset", F.col("offset") + 10 * place).coalesce(1)
+         .write.mode("append").parquet(str(tmp_path / "events")))
+    records(spark, [control_json("A", ["1", "2"])]).drop("arrival").write.parquet(str(tmp_path / "control"))
+    out = run.decide_stream(
+        stream_records(spark, str(tmp_path / "events"), max_files=1),
+        run.control_stream(stream_records(spark, str(tmp_path / "control"))), CFG)
+    job = (out.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+           .option("checkpointLocation", str(tmp_path / "chk")).start())
+    try:
+        for _ in range(120):
+            time.sleep(1)
+            assert job.isActive, job.exception()
+            if (tmp_path / "out" / "_spark_metadata").exists():
+                got = spark.read.schema(out.schema).parquet(str(tmp_path / "out")).collect()
+                if len(got) >= 7:
+                    break
+    finally:
+        job.stop()
+    assert sorted((r.kind, r.outcome or r.status, r.failure_reason or "") for r in got) == [
+        ("event", "DLQ_ROUTED", "FATAL_MISSING_FIELDS"), ("event", "DLQ_ROUTED", "FATAL_PARSE_ERROR"),
+        ("event", "DUPLICATE", ""), ("event", "DUPLICATE", ""),
+        ("event", "SUCCESS", ""), ("event", "SUCCESS", ""), ("group", "SUCCESS", "")]
+
+
+def test_clock_timers_and_available_now_exclude_each_other(spark, registry, streams, tmp_path):
+    ev, ctl = streams([], [])
+    with pytest.raises(ValueError):
+        run.run_stream(ev, ctl, str(tmp_path / "lake"), str(tmp_path / "chk"), registry, CFG,
+                       available_now=True)
