@@ -22,8 +22,8 @@ from pyspark.sql.types import StructType
 
 from sluice.llm.common import text_slices
 
-MEMO_PIECES = 600_000  # pieces a worker remembers beyond those of the texts at hand
-SLICE = 4_000_000  # characters of text at hand, one text at least
+MEMO_PIECES = 300_000  # pieces a worker remembers beyond those of the texts at hand
+SLICE = 2_000_000  # characters of text at hand, one text at least
 NEVER = 1 << 32  # later than any rank
 
 
