@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators import intake, ledger, publish, retry, verdict
-from sluice.session import drop_run, stage
+from sluice.session import drop_run, size_shuffles, stage
 from sluice.sources.lake import (
     DATA, QUARANTINE, lake_path, write_dead_letters, write_lake,
 )
@@ -93,6 +93,7 @@ def ingest(records: DataFrame, control: DataFrame, root: str, registry: Registry
     its own share.
     """
     run = uuid.uuid4().hex
+    size_shuffles(records.sparkSession, records, control)
     parsed = intake.parse_events(records)
     settled = settle(intake.event_keys(parsed, cfg), control_table(control), cfg, seen, run)
     status = stage(settled.status, "status", run=run)

@@ -8,8 +8,9 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on. Adaptive execution sizes the shuffle partitions and
-# splits skewed join partitions; UTC keeps partition columns independent of the host.
+# Settings every job relies on. Adaptive execution merges small shuffle partitions and
+# splits skewed join partitions; for their number at the start see ``size_shuffles``.
+# UTC keeps partition columns independent of the host.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -30,6 +31,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+PARTITION_BYTES = 128 * 1024 * 1024  # of input per shuffle partition at the start
+UNKNOWN_BYTES = 1 << 60  # the optimizer's guess where it knows nothing is far above
+
+
+def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Let shuffles start with a partition per 128 MB of the inputs, never fewer than set.
+
+    Adaptive execution only merges partitions of an aggregation, so their first number
+    must follow the data. Sizes are the optimizer's, from file lengths; an input without
+    files has none and is left out.
+    """
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+             for df in inputs]
+    size = sum(n for n in sizes if n < UNKNOWN_BYTES)
+    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", number)
+    return number
+
+
 def s3a_conf(endpoint: str, access_key: str, secret_key: str) -> dict[str, str]:
     """Hadoop settings for an S3-compatible store: path style, TLS by URL scheme."""
     url = urlparse(endpoint)

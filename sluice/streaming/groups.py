@@ -128,7 +128,10 @@ class GroupProcessor(StatefulProcessor):
             "strays", "trade_id string",
             "key string, value string, topic string, attempt_count int, arrival bigint")
         self.tally = handle.getValueState("tally", "strays int, first_stray bigint")
-        self.closed = handle.getValueState("closed", "until bigint")
+        # By the clock the memory of a closed group expires by itself; event time has no
+        # time to live, there it only stops counting.
+        self.closed = handle.getValueState("closed", "until bigint") if self.event_time else \
+            handle.getValueState("closed", "until bigint", ttlDurationMs=self.closed_ttl_ms)
 
     def close(self) -> None:
         pass
@@ -176,6 +179,7 @@ class GroupProcessor(StatefulProcessor):
             for held in _chunks(waiting.get()):
                 self._take(held)
             waiting.clear()
+        self.side.clear()
 
     def _side(self) -> int:
         return self.side.get()[0] if self.side.exists() else 0
@@ -283,7 +287,10 @@ class GroupProcessor(StatefulProcessor):
                                value=e[2], topic=e[3], attempt_count=e[4], arrival=e[5],
                                outcome=DLQ_ROUTED, failure_reason=NO_CONTROL_DOC)
         self.lists[side].clear()
-        self.side.update((1 - side,))
+        if kept.exists():
+            self.side.update((1 - side,))
+        else:
+            self.side.clear()
 
 
 class EventTimeGroupProcessor(GroupProcessor):

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from catalog.check import compare, connect
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 ROWS_ONLY = {"file_stats"}
@@ -12,8 +14,9 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no tables her
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == ROWS_ONLY
-    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
