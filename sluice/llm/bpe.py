@@ -22,8 +22,8 @@ from pyspark.sql.types import StructType
 
 from sluice.llm.common import text_slices
 
-MEMO_PIECES = 300_000  # pieces a worker remembers beyond those of the texts at hand
-SLICE = 2_000_000  # characters of text at hand, one text at least
+MEMO_PIECES = 450_000  # pieces a worker remembers beyond those of the texts at hand
+SLICE = 3_000_000  # characters of text at hand, one text at least
 NEVER = 1 << 32  # later than any rank
 
 
@@ -171,7 +171,7 @@ class Bpe:
 
 
 class PieceMemo(dict):
-    """Packed ids by piece, for one worker; forgets all when full."""
+    """Packed ids by piece, for one worker; when full it forgets what is not at hand."""
 
     def __init__(self, bpe: Bpe):
         super().__init__()
@@ -181,8 +181,9 @@ class PieceMemo(dict):
         """Encode the pieces not known yet, in byte order, so that neighbours share prefixes."""
         fresh = pieces.difference(self)
         if len(self) + len(fresh) > MEMO_PIECES:
+            used = {p: self[p] for p in pieces if p in self}
             self.clear()
-            fresh = pieces
+            self.update(used)
         bpe, before, table = self.bpe, b"", [-1]
         for data, piece in sorted((p.encode("utf-8", "surrogatepass"), p) for p in fresh):
             whole = bpe.ranks.get(data)
