@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from sluice.functions.headers import make_headers
 from sluice.functions.text import composite_key
 from sluice.operators import intake, publish
+from sluice.plans.runs import ingest_run
 from sluice.session import stage
+from sluice.sources.records import with_arrival
 from sluice.sources.tables import ARRIVAL, ROW_FILE, ROW_INDEX, read_numbered
 from sluice.spec import BANKING, LINEITEM, ORDERS, DatasetSpec, PipelineConfig
 
@@ -232,3 +234,38 @@ def retried(records: DataFrame) -> DataFrame:
 def keys_of(records: DataFrame) -> DataFrame:
     """Staged key columns of the records."""
     return stage(intake.event_keys(intake.parse_events(records), CFG), "keys")
+
+
+# --- runs in a row ------------------------------------------------------------------
+
+RUNS_FROM_MS = 1_717_200_000_000  # when the records of the runs were sent
+
+
+def first_run(records: DataFrame) -> Column:
+    """Every second row, with its copies, is sent in time for the first run."""
+    return F.shiftright(F.col(ARRIVAL), 1) % 2 == 0
+
+
+def runs_in_a_row(spark: SparkSession, sf_dir: str, root: str, registry, runs: int,
+                  repeats: int = 1) -> list:
+    """Orders with group faults through up to three runs, each done ``repeats`` times.
+
+    Rows come half by half. Some control documents come with the second half only, so
+    that their events wait in between. The third run, after all deadlines, brings nothing.
+    """
+    modulus, rest = GROUP_WITHOUT_CONTROL
+    late = group_number("key") % modulus == rest
+    records = stage(orders_with_group_faults(spark, sf_dir).drop(ARRIVAL), "sent")
+    control = stage(published(orders_rows(spark, sf_dir), ORDERS).control.drop(ARRIVAL), "announced")
+    records, control = with_arrival(records), with_arrival(control)
+    first = first_run(records)
+    steps = [(records.where(first), control.where(~late), 60_000),
+             (records.where(~first), control.where(late), 70_000),
+             (records.limit(0), control.limit(0), 600_000)]
+    results = []
+    for n, (sent, announced, passed) in enumerate(steps[:runs]):
+        for _ in range(repeats):
+            result = ingest_run(sent, announced, root, registry, INGESTED_AT, RUNS_FROM_MS + passed,
+                                CFG, f"run-{n}", f"run-{n - 1}" if n else None)
+        results.append(result)
+    return results

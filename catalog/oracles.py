@@ -461,6 +461,48 @@ _sql("lineitem_verdicts", LINE_GROUPS, f"""SELECT '{LINEITEM.schema_id}' AS sche
     SELECT count(*) AS n FROM firsts
     UNION ALL SELECT coalesce(sum(expected_count), 0) FROM states WHERE status = 'SUCCESS')""")
 
+# --- runs in a row ------------------------------------------------------------------------
+
+# Which run brought a row, what was stored after the second, what each run decided
+RUNS = f"""{GROUPS}, came AS (
+  SELECT *, CASE WHEN r % 2 = 0 THEN 1 ELSE 2 END AS run, {NO_CONTROL} AS announced_late
+  FROM flagged WHERE NOT lost),
+sizes AS (SELECT g, trade_group_id, CAST(count(*) AS INTEGER) AS expected_count,
+                 bool_or(lost) AS lossy FROM flagged WHERE copy = 0 GROUP BY ALL),
+stored AS (
+  SELECT came.* FROM came JOIN sizes USING (g) WHERE copy = 0 AND NOT lossy)"""
+_STORED_RUN = f"""SELECT event_id, trade_group_id, {_TID},
+  'PASSED' AS validation_status, CAST(1.0 AS DOUBLE) AS quality_score FROM stored WHERE """
+_sql("group_pending", RUNS, """SELECT sizes.trade_group_id,
+  CASE WHEN count(came.r) = expected_count THEN 'SUCCESS' ELSE 'PENDING' END AS status,
+  expected_count, count(came.r) AS actual_count, expected_count - count(came.r) AS missing_count
+  FROM sizes LEFT JOIN came ON came.g = sizes.g AND copy = 0 AND run = 1
+  WHERE sizes.{} GROUP BY sizes.trade_group_id, expected_count""".format(
+      "g % {} <> {}".format(*fx.GROUP_WITHOUT_CONTROL)))
+_sql("two_runs_verdicts", RUNS, _STORED_RUN + "NOT announced_late")
+_sql("retry_recovered", RUNS, _STORED_RUN + "announced_late")
+_sql("run_outcomes", RUNS, """SELECT arrival,
+  CAST(CASE WHEN run = 1 THEN 1 ELSE 0 END AS INTEGER) AS attempt_count,
+  CASE WHEN copy = 1 THEN 'DUPLICATE' ELSE 'SUCCESS' END AS outcome,
+  CAST(NULL AS VARCHAR) AS failure_reason FROM came WHERE run = 2 OR announced_late""")
+_sql("group_timeout", RUNS, """SELECT trade_group_id AS key, 'BATCH_TIMEOUT' AS failure_reason,
+  CAST(expected_count AS BIGINT) AS expected_count, CAST(1 AS BIGINT) AS missing_count
+  FROM sizes WHERE lossy""")
+_sql("replayed_batch", RUNS, "SELECT event_id, CAST(1 AS BIGINT) AS copies FROM stored")
+
+# --- CSV to lake ----------------------------------------------------------------------------
+
+_sql("csv_verdicts", """c AS (
+  SELECT 'TXN' || event_id AS id, value AS amount,
+         CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 5 = 0 THEN -1.5 ELSE 10.25 END AS balance,
+         event_id % 19 = 0 AS odd FROM events),
+s AS (SELECT *, (23 - CASE WHEN amount > 0 THEN 0 ELSE 3 END - CASE WHEN odd THEN 2 ELSE 0 END
+                 - CASE WHEN balance < 0 THEN 2 ELSE 0 END) / 23.0 AS score FROM c)""",
+     """SELECT id AS idempotency_key, id AS trade_id,
+  CASE WHEN score >= 0.7 THEN 'PASSED' WHEN score >= 0.5 THEN 'QUARANTINED' ELSE 'REJECTED' END
+    AS validation_status, CAST(round(score, 6) AS DOUBLE) AS quality_score, amount,
+  CAST(balance AS DOUBLE) AS balance FROM s""")
+
 # --- streams ----------------------------------------------------------------------------
 
 ORACLES["stream_group_status"] = ORACLES["group_status"]

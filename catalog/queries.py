@@ -21,8 +21,8 @@ from sluice.session import configure, stage, work_dir
 from sluice.sources.lake import DATA, QUARANTINE, scan_lake, write_lake
 from sluice.sources.records import stream_records
 from sluice.sources.registry import load_registry
-from sluice.sources.tables import ARRIVAL, read_csv
-from sluice.spec import LINEITEM, ORDERS
+from sluice.sources.tables import ARRIVAL, read_csv, read_csv_numbered
+from sluice.spec import BANKING, LINEITEM, ORDERS
 from sluice.streaming import run
 from sluice.streaming.run import control_stream, decide_stream, use_rocksdb
 
@@ -678,6 +678,93 @@ def _verdict_counts(validated):
         F.count_if("drift_detected").alias("drifted"))
 
 
+# --- runs in a row ------------------------------------------------------------------------
+
+def _runs(spark, sf_dir, runs, repeats=1):
+    root = f"{work_dir(spark)}/lake/{uuid.uuid4().hex}"
+    return root, fx.runs_in_a_row(spark, sf_dir, root, _registry(spark), runs, repeats)
+
+
+@query
+def group_pending(spark, sf_dir):
+    """Groups announced before the first run, half of whose events are there."""
+    return _runs(spark, sf_dir, 1)[1][0].settled.status.select(*_STATUS)
+
+
+@query
+def two_runs_verdicts(spark, sf_dir):
+    """Events stored after two runs over which every group was spread."""
+    modulus, rest = fx.GROUP_WITHOUT_CONTROL
+    root, _ = _runs(spark, sf_dir, 2)
+    return scan_lake(spark, root).where(fx.group_number() % modulus != rest).select(
+        "event_id", "trade_group_id", "trade_id", "validation_status", "quality_score")
+
+
+@query
+def retry_recovered(spark, sf_dir):
+    """Events stored after their control document came with the second run."""
+    modulus, rest = fx.GROUP_WITHOUT_CONTROL
+    root, _ = _runs(spark, sf_dir, 2)
+    return scan_lake(spark, root).where(fx.group_number() % modulus == rest).select(
+        "event_id", "trade_group_id", "trade_id", "validation_status", "quality_score")
+
+
+@query
+def run_outcomes(spark, sf_dir):
+    """Decisions of the second run: new records and replayed ones."""
+    return _runs(spark, sf_dir, 2)[1][1].settled.decisions.select(
+        "arrival", "attempt_count", "outcome", "failure_reason")
+
+
+@query
+def group_timeout(spark, sf_dir):
+    """Letters of the groups still incomplete when their deadline had passed."""
+    root, _ = _runs(spark, sf_dir, 3)
+    letters = spark.read.parquet(f"{root}/dlq")
+
+    def member(name: str):
+        return F.get_json_object("value", f"$.{name}")
+
+    return letters.select(
+        "key", member("failure_reason").alias("failure_reason"),
+        member("expected_count").cast("bigint").alias("expected_count"),
+        member("missing_count").cast("bigint").alias("missing_count"))
+
+
+@query
+def replayed_batch(spark, sf_dir):
+    """Two runs, each done twice under its name: every event is stored once."""
+    root, _ = _runs(spark, sf_dir, 2, repeats=2)
+    return scan_lake(spark, root).groupBy("event_id").agg(F.count("*").alias("copies"))
+
+
+# --- CSV to lake ----------------------------------------------------------------------------
+
+@query
+def csv_verdicts(spark, sf_dir):
+    """A table in CSV files with headers as people write them, taken all the way."""
+    k = F.col("event_id")
+    path = f"{work_dir(spark)}/csv/{uuid.uuid4().hex}"
+    raw = fx.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("TXN"), k.cast("string")).alias("Txn ID"),
+        fx.day("ts").alias("Trans Date"), F.col("value").alias("Txn Amount"),
+        F.when(k % 17 == 0, F.lit("NaN")).when(k % 5 == 0, F.lit("-1.5")).otherwise(
+            F.lit("10.25")).alias("Closing Balance"),
+        F.when(k % 19 == 0, "Unknown").otherwise("Success").alias("Transaction Status"))
+    raw.repartition(7).write.option("header", True).csv(path)
+    schema = ("`Txn ID` string, `Trans Date` string, `Txn Amount` double, "
+              "`Closing Balance` double, `Transaction Status` string")
+    rows = columns.nan_to_null(columns.canonical_names(columns.clean_names(
+        read_csv_numbered(spark, path, schema))))
+    validated = ingest.validated_table(
+        rows, BANKING, _registry(spark), fx.PUBLISHED_AT, fx.INGESTED_AT, fx.CFG)
+    return validated.select(
+        "idempotency_key", "trade_id", "validation_status",
+        F.round("quality_score", 6).alias("quality_score"),
+        F.get_json_object("payload", "$.amount").cast("double").alias("amount"),
+        F.get_json_object("payload", "$.balance").cast("double").alias("balance"))
+
+
 # --- streams ----------------------------------------------------------------------------
 
 def _record_tables(spark, sf_dir):

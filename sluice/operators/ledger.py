@@ -13,8 +13,8 @@ from sluice.functions.headers import make_headers
 from sluice.functions.joins import spread_join
 from sluice.sources.tables import ARRIVAL
 from sluice.spec import (
-    BATCH_TIMEOUT, DLQ_ROUTED, GROUP_FAIL, GROUP_SUCCESS, NO_CONTROL_DOC, RETRY_ROUTED,
-    SUCCESS, PipelineConfig,
+    BATCH_TIMEOUT, DLQ_ROUTED, GROUP_FAIL, GROUP_PENDING, GROUP_SUCCESS, NO_CONTROL_DOC,
+    RETRY_ROUTED, SUCCESS, PipelineConfig,
 )
 
 GROUP = "trade_group_id"
@@ -50,8 +50,11 @@ def slots(taken: DataFrame, control: DataFrame) -> DataFrame:
         F.min(ARRIVAL).alias(ARRIVAL), F.max("expected").alias("expected"))
 
 
-def group_status(slot: DataFrame, control: DataFrame) -> DataFrame:
-    """State of every announced group, as it stands at its deadline.
+def group_status(slot: DataFrame, control: DataFrame, now_ms: int | None = None) -> DataFrame:
+    """State of every announced group.
+
+    Without ``now_ms`` every deadline counts as past. With it, an incomplete group whose
+    deadline (column ``until`` of ``control``) lies after that moment is PENDING.
 
     A group succeeds when the announced count equals the number of announced ids, at
     least one, all of them arrived, and no other id arrived before the last of them.
@@ -72,12 +75,15 @@ def group_status(slot: DataFrame, control: DataFrame) -> DataFrame:
         & (F.col("_stray").isNull() | (F.col("_stray") > F.col("_last")))
     )
     zero = F.lit(0).cast("bigint")
-    joined = control.select(GROUP, "expected_count").join(tally, GROUP, "left").withColumn(
-        "_whole", F.coalesce(whole, F.lit(False)))
+    until = F.lit(None) if now_ms is None else F.col("until")
+    joined = control.select(
+        GROUP, "expected_count", F.coalesce(until > F.lit(now_ms), F.lit(False)).alias("_open")
+    ).join(tally, GROUP, "left").withColumn("_whole", F.coalesce(whole, F.lit(False)))
     return joined.select(
         GROUP,
         "expected_count",
-        F.when(F.col("_whole"), GROUP_SUCCESS).otherwise(GROUP_FAIL).alias("status"),
+        F.when(F.col("_whole"), GROUP_SUCCESS).when(F.col("_open"), GROUP_PENDING)
+        .otherwise(GROUP_FAIL).alias("status"),
         F.coalesce(F.when(F.col("_whole"), F.col("_ids")).otherwise(F.col("_received")), zero)
         .alias("actual_count"),
         F.coalesce("_missing", zero).alias("missing_count"),
@@ -130,6 +136,13 @@ def close_groups(decisions: DataFrame, status: DataFrame, cfg: PipelineConfig) -
     )
 
 
+def open_events(decisions: DataFrame, status: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Arrival numbers of the events taken in whose group is still waited for."""
+    waiting = status.where(F.col("status") == GROUP_PENDING).select(GROUP)
+    return spread_join(decisions.where(F.col("outcome") == SUCCESS), waiting, GROUP,
+                       F.col(ARRIVAL), "left_semi", cfg.salts).select(ARRIVAL)
+
+
 def failed_group_records(status: DataFrame) -> DataFrame:
     """One dead-letter record per failed group, with its counts."""
     value = F.to_json(F.struct(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from sluice.operators import intake, ledger, publish, retry, verdict
 from sluice.session import drop_run, size_shuffles, stage
 from sluice.sources.lake import (
-    DATA, QUARANTINE, lake_path, write_dead_letters, write_lake,
+    DATA, QUARANTINE, lake_path, record_bytes, records_per_file, write_dead_letters, write_lake,
 )
 from sluice.sources.registry import Registry
 from sluice.sources.tables import ARRIVAL
@@ -30,22 +32,24 @@ class Settled:
     slots: DataFrame
     status: DataFrame
     decisions: DataFrame
+    keys: DataFrame
 
 
 def settle(keys: DataFrame, control: DataFrame, cfg: PipelineConfig,
-           seen: DataFrame | None = None, run: str | None = None) -> Settled:
+           seen: DataFrame | None = None, run: str | None = None,
+           now_ms: int | None = None) -> Settled:
     """Decide which events are taken in and which groups are whole.
 
     ``control`` holds one document per group (see ``control_table``). Keys and decisions
     are used several times, so these narrow tables are staged: the JSON they come from
-    is parsed once.
+    is parsed once. With ``now_ms`` incomplete groups stay open until their deadline.
     """
     control = stage(control, "control", run=run)
     keys = stage(keys, "keys", run=run)
     decided = stage(intake.decide(keys, control, cfg, seen), "decided", run=run)
     slot = ledger.slots(decided.where(F.col("outcome") == SUCCESS), control)
-    status = ledger.group_status(slot, control)
-    return Settled(control, slot, status, ledger.close_groups(decided, status, cfg))
+    status = ledger.group_status(slot, control, now_ms)
+    return Settled(control, slot, status, ledger.close_groups(decided, status, cfg), keys)
 
 
 def control_table(control_records: DataFrame) -> DataFrame:
@@ -92,43 +96,65 @@ def ingest(records: DataFrame, control: DataFrame, root: str, registry: Registry
     The validated events are staged once, by verdict, so that each output reads only
     its own share.
     """
+    result = decide_and_validate(
+        records, control_table(control), registry, ingestion_time, cfg, seen)
+    decisions = result.settled.decisions
+    write_result(records, result, root, cfg)
+    if intake.outcome_counts(decisions).first()["retry_routed"]:
+        again = retry.retry_records(records, decisions, now_ms, cfg).drop(ARRIVAL)
+        append_retries(again, lake_path(root, RETRIES))
+    return result
+
+
+def decide_and_validate(records: DataFrame, control: DataFrame, registry: Registry,
+                        ingestion_time: str, cfg: PipelineConfig,
+                        seen: DataFrame | None = None, now_ms: int | None = None) -> IngestResult:
+    """All of a batch but its sinks; ``control`` holds one document per group."""
     run = uuid.uuid4().hex
     size_shuffles(records.sparkSession, records, control)
     parsed = intake.parse_events(records)
-    settled = settle(intake.event_keys(parsed, cfg), control_table(control), cfg, seen, run)
+    settled = settle(intake.event_keys(parsed, cfg), control, cfg, seen, run, now_ms)
     status = stage(settled.status, "status", run=run)
     decisions = stage(settled.decisions, "decisions", run=run)
-
     ready = ledger.ready_events(intake.taken_in(parsed), settled.slots, status)
     validated = stage(verdict.validate(ready, registry, ingestion_time, cfg), "validated",
                       by=["validation_status"], run=run)
-    _write_validated(validated, root, cfg)
-    write_dead_letters(ledger.failed_group_records(status), root)
-    _write_unsettled(records, decisions, root, now_ms, cfg)
-    return IngestResult(run, Settled(settled.control, settled.slots, status, decisions), validated)
+    return IngestResult(run, replace(settled, status=status, decisions=decisions), validated)
+
+
+def _now(sink: str, write: Callable[[], None]) -> None:
+    write()
 
 
-def _write_validated(validated: DataFrame, root: str, cfg: PipelineConfig) -> None:
-    """Each verdict to its place; one that never occurred costs no job."""
+def write_result(records: DataFrame, result: IngestResult, root: str, cfg: PipelineConfig,
+                 do: Callable[[str, Callable[[], None]], None] = _now) -> None:
+    """Lake, quarantine and dead letters; a verdict that never occurred costs no job.
+
+    Each sink goes through ``do`` under a name of its own, which may leave out those
+    already written.
+    """
+    validated, decisions = result.validated, result.settled.decisions
     counts = {r["validation_status"]: r["count"]
               for r in validated.groupBy("validation_status").count().collect()}
-    if counts.get(PASSED):
-        write_lake(verdict.passed(validated), root, DATA, cfg)
-    if counts.get(QUARANTINED):
-        write_lake(verdict.quarantined(validated), root, QUARANTINE, cfg)
-    if counts.get(REJECTED):
-        write_dead_letters(verdict.rejected_records(validated, cfg), root)
-
 
-def _write_unsettled(records: DataFrame, decisions: DataFrame, root: str, now_ms: int,
-                     cfg: PipelineConfig) -> None:
-    """Dead letters and retry records of raw events; the records are read only if any."""
-    counts = intake.outcome_counts(decisions).first()
-    if counts["dlq_routed"]:
-        write_dead_letters(intake.dead_letters(records, decisions), root)
-    if counts["retry_routed"]:
-        again = retry.retry_records(records, decisions, now_ms, cfg).drop(ARRIVAL)
-        append_retries(again, lake_path(root, RETRIES))
+    def lake(frame: DataFrame, prefix: str, n: int) -> Callable[[], None]:
+        def write() -> None:
+            size = record_bytes(frame.sparkSession, root, prefix, cfg)
+            files = math.ceil(n / records_per_file(size, cfg))
+            write_lake(frame, root, prefix, cfg, size, files)
+        return write
+
+    if n := counts.get(PASSED):
+        do("passed", lake(verdict.passed(validated), DATA, n))
+    if n := counts.get(QUARANTINED):
+        do("quarantined", lake(verdict.quarantined(validated), QUARANTINE, n))
+    if counts.get(REJECTED):
+        do("rejected", lambda: write_dead_letters(verdict.rejected_records(validated, cfg), root))
+    do("failed_groups", lambda: write_dead_letters(
+        ledger.failed_group_records(result.settled.status), root))
+    if intake.outcome_counts(decisions).first()["dlq_routed"]:
+        do("dead_letters", lambda: write_dead_letters(
+            intake.dead_letters(records, decisions), root))
 
 
 def append_retries(again: DataFrame, path: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from sluice.spec import PARTITION_FIELDS, STORED_FIELDS, PipelineConfig
 DATA = "data"
 QUARANTINE = "quarantine"
 DEAD_LETTERS = "dlq"
+RUNS = "_runs"
 
 _TYPES = {"schema_valid": "boolean", "drift_detected": "boolean", "breaking_change": "boolean",
           "quality_score": "double", "quality_passed": "boolean", "quality_threshold": "double"}
@@ -83,17 +86,20 @@ def records_per_file(bytes_per_record: float, cfg: PipelineConfig) -> int:
 
 
 def write_lake(validated: DataFrame, root: str, prefix: str, cfg: PipelineConfig,
-               bytes_per_record: float | None = None) -> None:
+               bytes_per_record: float | None = None, parts: int = 1) -> None:
     """Append validated events under a prefix, partitioned by intake hour and source.
 
-    ``rebalance`` sends rows of one partition folder together but splits a folder that
-    holds many rows over several tasks; the record limit bounds each file.
+    ``rebalance`` sends rows of one partition folder together, cut by event id into
+    ``parts``, and splits what is still large over several tasks; the record limit
+    bounds each file.
     """
     spark = validated.sparkSession
     if bytes_per_record is None:
         bytes_per_record = record_bytes(spark, root, prefix, cfg)
     rows = partition_columns(stored_record(validated))
-    (rows.hint("rebalance", *[F.col(c) for c in PARTITION_FIELDS])
+    part = F.pmod(F.xxhash64("event_id"), F.lit(max(parts, 1)))
+    (rows.withColumn("_part", part)
+     .hint("rebalance", *[F.col(c) for c in [*PARTITION_FIELDS, "_part"]]).drop("_part")
      .write.mode("append")
      .option("compression", "snappy")
      .option("maxRecordsPerFile", records_per_file(bytes_per_record, cfg))
@@ -101,6 +107,33 @@ def write_lake(validated: DataFrame, root: str, prefix: str, cfg: PipelineConfig
      .parquet(lake_path(root, prefix)))
 
 
+def once_per_run(spark: SparkSession, root: str, run: str, sink: str,
+                 write: Callable[[], None]) -> bool:
+    """Write a sink of a run unless the lake's ledger says that run has written it.
+
+    The mark is set right after the write was committed: a run that is done again after
+    a failure skips what it had finished. Only a failure between commit and mark, which
+    is one empty file, can still repeat a sink.
+    """
+    mark, fs = _file_system(spark, f"{run_path(root, run)}/done/{sink}")
+    if fs.exists(mark):
+        return False
+    write()
+    fs.create(mark, True).close()
+    return True
+
+
+def run_path(root: str, run: str) -> str:
+    """Folder of what the lake keeps about one run: finished sinks and what it left open."""
+    return lake_path(root, f"{RUNS}/{run}")
+
+
+def forget_run(spark: SparkSession, root: str, run: str) -> None:
+    """Remove what is kept about a run that will not be repeated or followed any more."""
+    path, fs = _file_system(spark, run_path(root, run))
+    fs.delete(path, True)
+
+
 def write_dead_letters(letters: DataFrame, root: str) -> None:
     letters.select("key", "value", "headers").write.mode("append").parquet(
         lake_path(root, DEAD_LETTERS))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.joins import BROADCAST_ROWS
+from sluice.session import stage
 
 ROW_FILE = "_row_file"
 ROW_INDEX = "_row_index"
@@ -73,6 +74,36 @@ def read_numbered(spark: SparkSession, path: str, min_tasks: int | None = None)
     return rows
 
 
+def read_csv_numbered(spark: SparkSession, path: str,
+                      schema: T.StructType | str | None = None) -> DataFrame:
+    """CSV scan with the numbers of ``read_numbered``, rows in the order of their file.
+
+    CSV files know no row index. Rows are staged once with the block they came from and
+    their rank in its task, so that the numbers do not depend on how blocks were packed
+    into tasks; a row's index is its rank in the block after the rows of earlier blocks.
+    Only the table of blocks, one row per block, is sorted, each file on its own.
+    """
+    scan = read_csv(spark, path, schema)
+    columns = scan.columns
+    staged = stage(scan.select(
+        "*", F.col("_metadata.file_path").alias("_uri"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_rank")), "csv")
+    blocks = staged.groupBy("_uri", "_block").agg(
+        F.min("_rank").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_uri").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    before = blocks.select("_uri", "_block", "_first", F.coalesce(
+        F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    files = [r[0] for r in blocks.select("_uri").distinct().collect()]  # a row per file
+    names = spark.createDataFrame(
+        file_names(files, path), f"_uri string, {ROW_FILE} string, _number int")
+    index = F.col("_before") + F.col("_rank") - F.col("_first")
+    return staged.join(before.join(names, "_uri"), ["_uri", "_block"]).select(
+        *columns, ROW_FILE, index.alias(ROW_INDEX),
+        (F.shiftleft(F.col("_number").cast("bigint"), INDEX_BITS) + index).alias(ARRIVAL))
+
+
 def number_by(df: DataFrame, order: list[str], name: str, buckets: int = 64) -> DataFrame:
     """Number the rows of any frame by a unique sort key (for sources without row index).
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +12,9 @@ from sluice.functions.headers import header_int, make_headers
 from sluice.functions.text import iso_utc
 from sluice.operators import intake, ledger, verdict
 from sluice.session import ROCKSDB_PROVIDER
-from sluice.sources.lake import DATA, QUARANTINE, write_dead_letters, write_lake
+from sluice.sources.lake import (
+    DATA, QUARANTINE, forget_run, once_per_run, write_dead_letters, write_lake,
+)
 from sluice.sources.registry import Registry
 from sluice.sources.tables import ARRIVAL
 from sluice.spec import (
@@ -115,8 +119,17 @@ def control_stream(records: DataFrame) -> DataFrame:
 
 
 def write_batch(decisions: DataFrame, root: str, registry: Registry, ingestion_time,
-                cfg: PipelineConfig) -> None:
-    """Sink of one micro-batch: validated events to the lake, the rest to dead letters."""
+                cfg: PipelineConfig, run: str | None = None) -> None:
+    """Sink of one micro-batch: validated events to the lake, the rest to dead letters.
+
+    Under the name ``run`` each sink is written once, however often the batch is played.
+    """
+    def do(sink: str, write) -> None:
+        if run is None:
+            write()
+        else:
+            once_per_run(decisions.sparkSession, root, run, sink, write)
+
     decisions.persist()
     try:
         events = decisions.where((F.col("kind") == EVENT) & (F.col("outcome") == SUCCESS))
@@ -124,11 +137,12 @@ def write_batch(decisions: DataFrame, root: str, registry: Registry, ingestion_t
         validated = verdict.validate(taken, registry, ingestion_time, cfg).persist()
         try:
             size = float(cfg.default_record_bytes)
-            write_lake(verdict.passed(validated), root, DATA, cfg, size)
-            write_lake(verdict.quarantined(validated), root, QUARANTINE, cfg, size)
+            do("passed", lambda: write_lake(verdict.passed(validated), root, DATA, cfg, size))
+            do("quarantined", lambda: write_lake(
+                verdict.quarantined(validated), root, QUARANTINE, cfg, size))
             letters = verdict.rejected_records(validated, cfg).unionByName(
                 dead_letters(decisions)).unionByName(failed_groups(decisions))
-            write_dead_letters(letters, root)
+            do("dead_letters", lambda: write_dead_letters(letters, root))
         finally:
             validated.unpersist()
     finally:
@@ -151,7 +165,8 @@ def failed_groups(decisions: DataFrame) -> DataFrame:
 def run_stream(events: DataFrame, control: DataFrame, root: str, checkpoint: str,
                registry: Registry, cfg: PipelineConfig, available_now: bool = False,
                event_time: bool = False, ingestion_time: str | None = None) -> StreamingQuery:
-    """Start the job. Offsets and state are checkpointed; sinks are written at least once.
+    """Start the job. Offsets and state are checkpointed; a batch that is played again
+    after a failure skips the sinks it had written.
 
     Without ``available_now`` a micro-batch starts every ``cfg.idle_flush``. Timers that
     follow the clock never run out, so ``available_now`` needs ``event_time``.
@@ -161,8 +176,12 @@ def run_stream(events: DataFrame, control: DataFrame, root: str, checkpoint: str
     decisions = decide_stream(events, control_stream(control), cfg, event_time)
     time = F.lit(ingestion_time) if ingestion_time else iso_utc(F.current_timestamp())
 
-    def sink(batch: DataFrame, _: int) -> None:
-        write_batch(batch, root, registry, time, cfg)
+    series = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def sink(batch: DataFrame, number: int) -> None:
+        write_batch(batch, root, registry, time, cfg, f"{series}-{number}")
+        # Only the last batch can be played again.
+        forget_run(batch.sparkSession, root, f"{series}-{number - 1}")
 
     writer = decisions.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     if available_now:
