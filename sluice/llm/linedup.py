@@ -5,6 +5,9 @@ on a fixed remainder. An inserted or deleted line therefore moves no boundary be
 next line, and a passage shared by two documents is cut alike inside both. Chunks whose
 hash occurs more than once are compared byte for byte; all but the first occurrence go.
 Only built-in column functions are used.
+
+Short passages mostly escape these chunks, which the query's SQL fixes. ``dedup_passages``
+therefore looks at every two non-blank lines in a row instead, without any boundary.
 """
 
 from __future__ import annotations
@@ -127,6 +130,66 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         F.sha2(F.coalesce("_left", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def line_pairs(docs: DataFrame) -> DataFrame:
+    """``_id, _th, _at, _to, _chunk, _hash`` of every non-blank line with the next such line.
+
+    ``_chunk`` holds the lines from ``_at`` to ``_to``, blank ones between them included.
+    """
+    rows = _rows(docs).select("_id", "_th", F.explode(F.array(_all_lines())).alias("_lines"))
+    filled = F.filter(F.transform("_lines", lambda x, i: F.when(x.rlike(r"\S"), i)), F.isnotnull)
+    marked = rows.withColumn("_filled", F.explode(F.array(filled))).where(F.size("_filled") > 1)
+    spans = F.zip_with(F.slice("_filled", 1, F.size("_filled") - 1),
+                       F.slice("_filled", 2, F.size("_filled") - 1),
+                       lambda a, b: F.struct(a.alias("_at"), b.alias("_to"), F.array_join(
+                           F.slice("_lines", a + 1, b - a + 1), "\n").alias("_chunk")))
+    return marked.select("_id", "_th", F.explode(spans).alias("_pair")).select(
+        "_id", "_th", "_pair.*").withColumn("_hash", F.xxhash64("_chunk"))
+
+
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """``_id, _th, _at, _to`` of every pair of lines whose bytes occurred before.
+
+    First is the one of smallest (id, text hash, place), a null id before all others. A
+    pair that shares a line with its own first occurrence is none: of a line many times in
+    a row two stay.
+    """
+    found = line_pairs(docs)
+    where = F.struct("_id", "_th", "_at", "_to")
+    hashes = stage(found.groupBy("_hash").agg(F.count(F.lit(1)).alias("_times"))
+                   .where("_times > 1").select("_hash"), "hashes")
+    few = hashes.count() <= BROADCAST_HASHES
+    again = stage(found.join(F.broadcast(hashes) if few else hashes, "_hash", "left_semi"), "again")
+    first = stage(again.groupBy("_hash", "_chunk").agg(
+        F.min(where).alias("_first"), F.count(F.lit(1)).alias("_times"))
+        .where("_times > 1").select("_hash", F.col("_chunk").alias("_bytes"), "_first"), "first")
+    apart = ~(F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_th") == F.col("_first._th"))) \
+        | (F.col("_at") > F.col("_first._to"))
+    return again.join(first, "_hash").where((F.col("_chunk") == F.col("_bytes")) & apart).select(
+        "_id", "_th", "_at", "_to")
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` without any two or more lines in a row that occurred before; rows and columns stay.
+
+    Each line of a repeated pair goes, with blank lines inside the pair. A line's very
+    first occurrence is in no repeated pair, so no line vanishes from the corpus. A line
+    repeated between other neighbours stays. Nulls, empty texts and rows that agree in
+    id and text are treated as in ``dedup_lines``.
+    """
+    gone = stage(repeated_pairs(docs).groupBy("_id", "_th").agg(
+        F.array_distinct(F.flatten(F.collect_set(F.sequence("_at", "_to")))).alias("_gone")), "gone").select(
+        F.col("_id").alias("_gone_id"), F.col("_th").alias("_gone_th"), "_gone")
+    joined = _rows(docs).join(gone.hint("merge"), F.col("_id").eqNullSafe(F.col("_gone_id"))
+                              & (F.col("_th") == F.col("_gone_th")), "left")
+    # texts that lose nothing are not cut again
+    lists = joined.withColumn("_lines", F.explode(F.array(
+        F.when(F.isnotnull("_gone"), _all_lines()).otherwise(F.array(F.lit(""))))))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("_gone", F.array()))
+    kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
+    text = F.when(F.isnull("_gone"), F.col("_row.text")).otherwise(kept)
+    return lists.select(F.col("_row").withField("text", text).alias("_row")).select("_row.*")
+
+
 REMOVED_LINES_SQL = f"""
 WITH lined AS (
   SELECT doc_id, text IS NULL AS no_text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),

@@ -296,6 +296,33 @@ def test_line_dedup_beyond_the_broadcast_bound(spark, texts, monkeypatch):
     assert {tuple(r) for r in linedup.removed_lines(docs).collect()} == want
 
 
+def plain_passages(texts):
+    """Lines left per text where every repeated pair of neighbouring non-blank lines goes."""
+    first, out = {}, {}
+    for i, text in enumerate(texts):
+        lines, gone = (text or "").split("\n"), set()
+        filled = [k for k, line in enumerate(lines) if line.strip()]
+        for a, b in zip(filled, filled[1:]):
+            j, end = first.setdefault("\n".join(lines[a:b + 1]), (i, b))
+            if j != i or a > end:
+                gone |= set(range(a, b + 1))
+        out[i] = None if text is None else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_short_passages_go_whatever_surrounds_them(spark, texts):
+    two, three = "first of two\nsecond of two", "one of three\ntwo of three\nthree of three"
+    more = [f"before {k}\n{p}\nafter {k}" for k in range(20) for p in (two, three)]
+    more += ["same line\n" * 180 + "end", "own\nfirst of two\n\nsecond of two", "x\nfirst of two\n\nsecond of two\ny"]
+    everything = texts + more
+    left = linedup.dedup_passages(docs_of(spark, everything))
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == plain_passages(everything)
+    got = by_id(left)
+    n = len(texts)
+    assert [got[n + k]["text"] for k in (2, 3, 39)] == ["before 1\nafter 1", "before 1\nafter 1", "before 19\nafter 19"]
+    assert got[n + 40]["text"] == "same line\nsame line\nend"
+
+
 # ---- 7
 
 def labelled(spark, rows):
