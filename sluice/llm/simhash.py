@@ -37,6 +37,10 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
 SMALL_BUCKET = 256  # rows under one key compared within one stream; larger ones are split
 BLOCK = 2048  # fingerprints of a large bucket compared with as many others in one task
 PIECE = 200_000  # shingles hashed at a time
+COPY_WORDS = 5  # words of a shingle of near_copies
+SIMILARITY = 0.8  # Jaccard similarity of near copies
+BANDS, BAND_ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of (1 - 0.8**4)**24 = 3e-6
+FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 # ---- fingerprints
@@ -298,3 +302,129 @@ def keep_first(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs).where("doc_id <> component_id").select(
         F.col("doc_id").alias("_copy_id")).distinct()
     return docs.join(stage(found, "copies").hint("merge"), docs["doc_id"] == F.col("_copy_id"), "left_anti")
+
+
+# ---- near copies by Jaccard similarity
+
+def shingle_set(text: str | None, words: int = COPY_WORDS) -> np.ndarray:
+    """Hashes of the distinct shingles of lower-cased (A-Z only) words, ascending."""
+    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not found:
+        return np.zeros(0, dtype=np.uint64)
+    n = min(words, len(found))  # a shorter text is one shingle
+    joined = map(b" ".join, zip(*(found[k:] for k in range(n))))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, joined), dtype=np.uint64))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A key per band: the smallest hashes of the set under ``BAND_ROWS`` orders; none if empty."""
+    if not len(hashes):
+        return []
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for lo in range(0, len(hashes), 256):
+        least = np.minimum(least, (FACTORS[:, None] * hashes[None, lo:lo + 256]).min(axis=1))
+    rows = least.reshape(BANDS, BAND_ROWS)
+    keys = [xxhash.xxh64_intdigest(r.tobytes(), seed=k) for k, r in enumerate(rows)]
+    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+
+
+def _banded(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), words) for t in b.column("text")]
+            marks = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("_th"), pa.array(marks.view(np.int64)),
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))],
+                names=["doc_id", "_th", "mark", "n", "bands"])
+    return run
+
+
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), words).view(np.int64) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("mark"), pa.array(sets, pa.list_(pa.int64()))], names=["mark", "set"])
+    return run
+
+
+def _hashed_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and ``_th``, a hash that tells texts of one id apart."""
+    return doc_texts(docs).withColumn("_th", F.xxhash64("text"))
+
+
+def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, _th, component_id`` for every row of ``docs``; ``_th`` is its text's hash.
+
+    Texts link if the Jaccard similarity of their sets of shingles of ``words`` words is
+    at least ``similarity``; ``component_id`` is as in ``near_duplicates``. Pairs that share
+    a band of smallest hashes are verified on the whole sets. Within a band's bucket all are
+    compared with one first; only where this leaves several components the rest are
+    compared pairwise. Equal sets meet as one from the start, texts without words too.
+    """
+    texts = _hashed_texts(docs)
+    marks = stage(texts.mapInArrow(
+        _banded(words), "doc_id long, _th long, mark long, n long, bands array<long>"), "marks")
+    distinct = stage(marks.groupBy("mark").agg(
+        F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("bands").alias("bands"),
+        F.min(F.struct("doc_id", "_th")).alias("row")), "distinct")
+    banded = distinct.select("mark", "n", F.explode("bands").alias("key"))
+    member = F.struct("mark", "n")
+    buckets = stage(banded.groupBy("key").agg(
+        F.min(member).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    rows = stage(banded.join(buckets, "key"), "members")
+
+    def sized(a: str, b: str):  # sets further apart in size cannot be similar
+        return F.least(a, b) >= F.greatest(a, b) * (similarity - 1e-9)
+
+    tried = stage(rows.where("mark <> head.mark").where(sized("n", "head.n")).select(
+        F.col("head.mark").alias("u"), F.col("mark").alias("v")).distinct(), "pairs")
+
+    def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        common = F.size(F.array_intersect("set_u", "set_v"))
+        both = F.size("set_u") + F.size("set_v") - common
+        return pairs.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v").where(
+            common / both >= similarity).select("u", "v")
+
+    # only texts that share a bucket are looked at again
+    shared = stage(rows.select("mark").distinct().join(distinct, "mark").select(
+        "mark", F.col("row.doc_id").alias("_id"), F.col("row._th").alias("_row_th")), "shared")
+    sets = stage(texts.join(shared.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))
+                            & (F.col("_th") == F.col("_row_th"))).dropDuplicates(["mark"]).select(
+        "mark", "text").mapInArrow(_sets(words), "mark long, set array<long>"), "sets")
+    found = stage(links(tried, sets), "links")
+    roots = stage(components(found), "roots")
+    open_ = stage(rows.where("size > 2").join(roots, rows.mark == roots.node, "left").select(
+        "key", "mark", "n", F.coalesce("root", "mark").alias("root")), "open")
+    split = stage(open_.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(
+        "lo < hi").select("key"), "split")
+    left = open_.join(split, "key")
+    right = left.toDF("key", "other", "n_other", "root_other")
+    rest = left.join(right, "key").where("mark < other AND root <> root_other").where(
+        sized("n", "n_other")).select(F.col("mark").alias("u"), F.col("other").alias("v")).distinct()
+    rest = stage(rest.join(tried, ["u", "v"], "left_anti"), "pairs")
+    if not rest.isEmpty():
+        roots = stage(components(stage(found.union(links(rest, sets)), "links")), "roots")
+    rooted = stage(distinct.join(roots, distinct.mark == roots.node, "left").select(
+        "mark", "first", F.coalesce("root", "mark").alias("root")), "rooted")
+    names = stage(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
+    named = stage(rooted.join(names, "root").select("mark", "component_id"), "named")
+    return marks.join(named, "mark").select("doc_id", "_th", "component_id")
+
+
+def keep_first_copy(docs: DataFrame) -> DataFrame:
+    """Keep the row of smallest ``doc_id`` of each component of near copies; all columns stay.
+
+    Rows with null id stay. Only the row whose text is a copy goes, not others of its id.
+    """
+    return _without(docs, near_copies(docs))
+
+
+def _without(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """``docs`` without the rows (``doc_id``, ``_th``) that are not of their component's id."""
+    copies = stage(named.where("doc_id <> component_id").select(
+        F.col("doc_id").alias("_copy_id"), F.col("_th").alias("_copy_th")).distinct(), "copies")
+    return docs.join(copies.hint("merge"), (docs["doc_id"] == F.col("_copy_id"))
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_copy_th")), "left_anti")

@@ -265,6 +265,36 @@ def test_streamed_buckets_survive_batch_borders():
     assert all(n == 0 for n in whole.values())
 
 
+def plain_jaccard(a, b):
+    one, two = ({tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(one & two) / len(one | two)
+
+
+def test_near_copies_by_jaccard(spark):
+    rng = random.Random(11)
+    texts = []
+    for k in range(60):
+        base = prose(rng, 300, [f"v{i}" for i in range(3000)]).split()
+        copy = list(base)
+        for at in range(9, 300, 35 + k):  # a word changed breaks five shingles
+            copy[at] = "changed"
+        texts += [" ".join(base), " ".join(copy), " ".join(base[40:] + copy[:40])]
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if i - j < 3 and i // 3 == j // 3
+             and plain_jaccard(texts[i], texts[j]) >= 0.8]
+    root = list(range(len(texts)))
+    for i, j in sorted(alike):
+        low, high = sorted((root[i], root[j]))
+        root = [low if r == high else r for r in root]
+    marks = [plain_fingerprint(t) for t in texts]
+    assert any(bin(marks[i] ^ marks[j]).count("1") > 4 for i, j in alike)
+    assert any(i // 3 == j // 3 and plain_jaccard(texts[i], texts[j]) < 0.8 for i in range(9) for j in range(i))
+    got = by_id(simhash.near_copies(docs_of(spark, texts)))
+    assert [got[i]["component_id"] for i in range(len(texts))] == root
+    kept = simhash.keep_first_copy(docs_of(spark, texts))
+    assert {r["doc_id"] for r in kept.collect()} == set(root) and len(kept.columns) == 7
+    assert simhash.near_copies(docs_of(spark, texts).limit(0)).count() == 0
+
+
 # ---- 6
 
 def test_line_chunks_equal_sql(spark, texts):
