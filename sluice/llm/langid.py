@@ -170,6 +170,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     Null texts and texts without a letter give ``und``, score 0 and an empty map, as does
     every text if there was no language to learn.
     """
+    return _predict(docs, model).drop("_th")
+
+
+def _predict(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``predict`` and ``_th``, a hash that tells texts of one id apart."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages times buckets
 
     def run(batches):
@@ -186,11 +191,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     mixed.append([(model.langs[k], float(row[k])) for k in np.nonzero(row)[0]])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
-                     pa.array(mixed, pa.map_(pa.string(), pa.float64()))],
-                    names=["doc_id", "lang_pred", "score", "mixture"])
+                     pa.array(mixed, pa.map_(pa.string(), pa.float64())), part.column("_th")],
+                    names=["doc_id", "lang_pred", "score", "mixture", "_th"])
 
-    return doc_texts(docs).mapInArrow(
-        run, "doc_id long, lang_pred string, score double, mixture map<string,double>")
+    return doc_texts(docs).withColumn("_th", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, lang_pred string, score double, mixture map<string,double>, _th long")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -199,8 +204,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """``docs`` without texts in no known language (``und``); all columns stay."""
-    found = identify(docs).where(F.col("lang_pred") == UNKNOWN).select(
-        F.col("doc_id").alias("_bad_id")).distinct()
+    """``docs`` without texts in no known language (``und``); all columns stay.
+
+    Of rows that share an id, or have none, only those with such a text go.
+    """
+    found = _predict(docs, learn(docs)).where(F.col("lang_pred") == UNKNOWN).select(
+        F.col("doc_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct()
     unknown = stage(found, "unknown").hint("merge")
-    return docs.join(unknown, docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")), "left_anti")
+    return docs.join(unknown, docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_bad_th")), "left_anti")

@@ -282,7 +282,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null, empty and blank texts have fingerprint zero. Rows with null ``doc_id`` keep
     their row and never name a component unless no other id is in it (then null).
     """
-    marks = stage(fingerprints(docs), "fingerprints")
+    return _named(stage(fingerprints(docs), "fingerprints")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _named(marks: DataFrame) -> DataFrame:
+    """``marks`` with the ``component_id`` of their fingerprint."""
     distinct = stage(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = stage(components(fingerprint_links(distinct.select("fp"))), "roots")
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
@@ -290,18 +295,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = stage(rooted, "rooted")
     names = stage(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     named = stage(rooted.join(names, "root").select("fp", "component_id"), "named")
-    return marks.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return marks.join(named, "fp")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """Keep the row of smallest ``doc_id`` of each component; all columns stay.
 
-    Rows that share that ``doc_id`` are kept with it, and so are rows with null id.
+    Rows that share that ``doc_id`` are kept with it, and so are rows with null id. Only
+    the row whose text is a copy goes, not others of its id.
     """
-    found = near_duplicates(docs).where("doc_id <> component_id").select(
-        F.col("doc_id").alias("_copy_id")).distinct()
-    return docs.join(stage(found, "copies").hint("merge"), docs["doc_id"] == F.col("_copy_id"), "left_anti")
+    def run(batches):
+        for b in batches:
+            marks, = _fingerprints(iter([b]))
+            yield marks.append_column("_th", b.column("_th"))
+
+    marks = _hashed_texts(docs).mapInArrow(run, "doc_id long, fp long, _th long")
+    return _without(docs, _named(stage(marks, "fingerprints")))
 
 
 # ---- near copies by Jaccard similarity

@@ -295,6 +295,17 @@ def test_near_copies_by_jaccard(spark):
     assert simhash.near_copies(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_taken_out_by_their_text(spark):
+    same = "one text that was there before in this very form"
+    df = docs_of(spark, ["banana", " 12 ", "tamara kanala", "!?", same, same, "quite another text of the same id"],
+                 [None, None, 5, 5, 6, 7, 7])
+    rows = [("banana", None), ("tamara kanala", 5), ("quite another text of the same id", 7), (same, 6)]
+    labelled = df.withColumn("lang", F.lit("aa"))
+    assert {(r["text"], r["doc_id"]) for r in langid.keep_known(labelled).collect()} == {*rows, (same, 7)}
+    for keep in (simhash.keep_first, simhash.keep_first_copy):
+        assert {(r["text"], r["doc_id"]) for r in keep(langid.keep_known(labelled)).collect()} == set(rows)
+
+
 # ---- 6
 
 def test_line_chunks_equal_sql(spark, texts):
