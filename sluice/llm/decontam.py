@@ -1,18 +1,20 @@
 r"""Benchmark decontamination by templates.
 
 A text becomes a row of tokens: runs of digits are a ``number`` slot, a unit right after
-a number is a ``unit`` slot, capitalised words are a ``name`` slot, all other words stand
-for themselves in lower case. Windows of eight tokens are hashed with the slot kinds in
-place of their values, so a question asked again with other figures or names meets its
-template. Windows of an item and a document that line up are gathered per shift, and
-their slots must map one to one; a window of the same words always counts.
-A template of few plain words says little, so there the values are hashed. Every window is
-also hashed with its values, which finds copies whose capitals changed.
+a number is a ``unit`` slot, a run of capitalised words is one ``name`` slot, all other words
+stand for themselves in lower case; scripts without blanks are cut by character. Windows of
+eight tokens are hashed with the slot kinds in place of their values, so a question asked
+again with other figures or names meets its template. Windows of an item and a document
+that line up are gathered per shift and judged together: of the slots the largest part that
+maps each value of the item to one value counts, and the plain words met must be enough, or
+the whole item met. Every window is also hashed with its values, over single words, which
+finds copies whose capitals changed; a window of the same words always counts.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +27,15 @@ from sluice.llm.common import doc_texts, text_slices
 from sluice.session import stage
 
 WINDOW = 8
-MIN_TOKENS = 5  # shorter items are too little evidence
-MIN_PLAIN = 5  # plain words a template window needs
+MIN_TOKENS = 5  # shorter items are only matched word for word
+MIN_PLAIN = 5  # plain words the templates of a shift must meet
+MIN_PLAIN_WHOLE = 2  # if they meet the whole item
 COVERAGE = 0.5  # share of an item's tokens that must be met
 BROADCAST_WINDOWS = 2_000_000  # 8 bytes each; beyond, windows are joined by a shuffle
-TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
+# fixed values: Thai, Lao, Tibetan, Myanmar, Khmer, kana, ideographs
+NO_BLANKS = ("\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+             "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+TOKEN = re.compile(rf"\d+(?:[.,]\d+)*|(?=[{NO_BLANKS}])[^\W\d_]|[^\W\d_{NO_BLANKS}]+")
 # fixed values: units of measure, in lower case
 UNITS = frozenset(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms "
@@ -75,47 +81,61 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def window_hashes(value: np.ndarray, kind: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per window of ``n`` tokens the hash of its template and that of its values.
-
-    A template of too few plain words takes the hash of the values too.
-    """
-    count = max(0, len(value) - n + 1)
-    plain = kind == PLAIN
-    shape = _mix(np.where(plain, value, kind.astype(np.uint64)))
-    value = _mix(value)
-    template, verbatim = np.full(count, n, np.uint64), np.full(count, n + 64, np.uint64)
-    literal = np.zeros(count, dtype=np.int16)
+def window_hashes(marks: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Per window of ``n`` tokens its hash."""
+    count = max(0, len(marks) - n + 1)
+    out = np.full(count, n + seed, np.uint64)
     for k in range(n if count else 0):
-        template = template * MULTIPLIER + shape[k:k + count]
-        verbatim = verbatim * MULTIPLIER + value[k:k + count]
-        literal += plain[k:k + count]
-    template = np.where(literal >= min(MIN_PLAIN, n), template, verbatim)
-    return _mix(template).view(np.int64), _mix(verbatim).view(np.int64)
+        out = out * MULTIPLIER + marks[k:k + count]
+    return _mix(out).view(np.int64)
 
 
 class _Texts:
-    """Tokens of several texts in a row, each text a stretch of its own."""
+    """Tokens of several texts in a row, each text a stretch of its own.
+
+    ``rows`` has by ``same`` two rows of them: all tokens by value, and by shape with a run
+    of names as one. A row is its marks, the ends of the texts in it, and the first token of each
+    of its places, with one more at the end.
+    """
 
     def __init__(self, texts: list[str | None], memo: Tokens):
         found = [TOKEN.findall(t or "") for t in texts]
         self.sizes = np.array([len(t) for t in found], dtype=np.int64)
-        self.ends = np.cumsum(self.sizes)
+        ends = np.cumsum(self.sizes)
         self.tokens = [t for tokens in found for t in tokens]
-        starts = (self.ends - self.sizes)[self.sizes > 0]
-        self.value, self.kind = _codes(self.tokens, memo)
-        across = starts[self.kind[starts] == UNIT]  # after a number of the text before
-        self.kind[across] = PLAIN
+        starts = (ends - self.sizes)[self.sizes > 0]
+        value, kind = self.value, self.kind = _codes(self.tokens, memo)
+        kind[starts[kind[starts] == UNIT]] = PLAIN  # after a number of the text before
+        name = kind == NAME
+        goes_on = np.zeros(len(name), dtype=bool)
+        goes_on[1:] = False  # each name is a slot of its own
+        goes_on[starts] = False
+        first = np.nonzero(~goes_on)[0]
+        shape = _mix(np.where(kind == PLAIN, value, kind.astype(np.uint64)))[first]
+        total = [len(self.tokens)]
+        self.rows = {True: (_mix(value), ends, np.arange(total[0] + 1)),
+                     False: (shape, np.searchsorted(first, ends), np.r_[first, total].astype(np.int64))}
+        self.slotted = np.cumsum(np.r_[0, kind[first] != PLAIN])
+
+    def hashes(self, n: int, same: bool) -> np.ndarray:
+        return window_hashes(self.rows[same][0], n, 64 if same else 0)
+
+    def has_slot(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Whether the template windows at these places have a slot."""
+        return self.slotted[at + n] > self.slotted[at]
 
     def slots(self, at: int, n: int) -> list[str]:
-        """``kind:value`` per token of a window, empty for plain words."""
-        return [f"{self.kind[j]}:{self.tokens[j]}" if self.kind[j] else "" for j in range(at, at + n)]
+        """``kind:value`` per place of a template window, empty for plain words."""
+        place = self.rows[False][2]
+        return [f"{self.kind[a]}:{' '.join(self.tokens[a:b])}" if self.kind[a] else ""
+                for a, b in zip(place[at:at + n].tolist(), place[at + 1:at + n + 1].tolist())]
 
 
-WINDOW_SCHEMA = "id long, n_tokens int, at int, n int, hash long, same boolean, slots array<string>"
+# ``starts`` has the first token of each place of an item's window, and one more at the end
+WINDOW_SCHEMA = "id long, n_tokens int, at int, n int, hash long, same boolean, slots array<string>, starts array<int>"
 WINDOW_TYPES = pa.schema([("id", pa.int64()), ("n_tokens", pa.int32()), ("at", pa.int32()),
                           ("n", pa.int32()), ("hash", pa.int64()), ("same", pa.bool_()),
-                          ("slots", pa.list_(pa.string()))])
+                          ("slots", pa.list_(pa.string())), ("starts", pa.list_(pa.int32()))])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -124,26 +144,29 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All windows of the items; an item shorter than a window is one window itself."""
+    """All windows of the items; an item shorter than a window is one window itself.
+
+    Templates without slots say what the words say; those of an item of fewer than five
+    places, or of hardly a plain word, say nothing.
+    """
     memo = Tokens()
     for b in batches:
         for key, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist()):
-            t = _Texts([text], memo)
-            size = len(t.tokens)
-            if size < MIN_TOKENS:
-                continue
-            n = min(WINDOW, size)
-            template, verbatim = window_hashes(t.value, t.kind, n)
-            rows = []
-            for p in range(size - n + 1):
-                slots = t.slots(p, n)
-                rows.append((key, size, p, n, int(verbatim[p]), True, slots))
-                if template[p] != verbatim[p]:
-                    rows.append((key, size, p, n, int(template[p]), False, slots))
-            yield _batch(rows)
-
-
-def _doc_windows(lengths: list[int], wanted=None):
+            t, rows = _Texts([text], memo), []
+            for same, (marks, _, place) in t.rows.items():
+                size, n = len(marks), min(WINDOW, len(marks))
+                if not size or not same and (
+                        size < MIN_TOKENS or (t.kind == PLAIN).sum() < MIN_PLAIN_WHOLE):
+                    continue
+                hashes, at = t.hashes(n, same), np.arange(size - n + 1)
+                for p in (at if same else at[t.has_slot(at, n)]).tolist():
+                    rows.append((key, len(t.tokens), p, n, int(hashes[p]), same,
+                                 [] if same else t.slots(p, n), place[p:p + n + 1].tolist()))
+            if rows:
+                yield _batch(rows)
+
+
+def _doc_windows(lengths: list[tuple[int, bool]], wanted=None):
     """Batch function giving the windows of documents, only those of ``wanted`` hashes if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Tokens()
@@ -155,25 +178,65 @@ def _doc_windows(lengths: list[int], wanted=None):
             for part, texts in text_slices(batch):
                 t, rows = _Texts(texts, memo), []
                 ids = part.column("doc_id").to_pylist()
-                for n in lengths:
-                    template, verbatim = window_hashes(t.value, t.kind, n)
-                    for h, same in ((verbatim, True), (template, False)):
-                        at = np.arange(len(h)) if wanted is None else np.nonzero(near[h & mask])[0]
-                        if wanted is not None:
-                            at = at[np.isin(h[at], wanted.value)]
-                        if not same:
-                            at = at[template[at] != verbatim[at]]
-                        i = np.searchsorted(t.ends, at, side="right")
-                        inside = at + n <= t.ends[i]
-                        for p, k in zip(at[inside].tolist(), i[inside].tolist()):
-                            size = int(t.sizes[k])
-                            rows.append((ids[k], size, p - int(t.ends[k]) + size, n, int(h[p]), same,
-                                         [] if same else t.slots(p, n)))
-                for lo in range(0, len(rows), 50_000):
-                    yield _batch(rows[lo:lo + 50_000])
+                for n, same in lengths:
+                    h, ends = t.hashes(n, same), t.rows[same][1]
+                    at = np.arange(len(h)) if wanted is None else np.nonzero(near[h & mask])[0]
+                    if wanted is not None:
+                        at = at[np.isin(h[at], wanted.value)]
+                    if not same:
+                        at = at[t.has_slot(at, n)]
+                    i = np.searchsorted(ends, at, side="right")
+                    inside = at + n <= ends[i]
+                    for p, k in zip(at[inside].tolist(), i[inside].tolist()):
+                        rows.append((ids[k], int(t.sizes[k]), p - int(ends[k - 1] if k else 0), n,
+                                     int(h[p]), same, [] if same else t.slots(p, n), []))
+                        if len(rows) == 50_000:
+                            yield _batch(rows)
+                            rows = []
+                if rows:
+                    yield _batch(rows)
     return run
 
 
+def met_tokens(n_tokens: int, windows: list[dict]) -> list[int]:
+    """Tokens of an item met by the templates of one shift; none without enough evidence.
+
+    Each value of the item goes with the document's value it meets at most places; the
+    other places are not met. If these are more than half of the numbers and names,
+    the values contradict the item. Two values of the item may meet the same one. Left
+    must be ``MIN_PLAIN`` plain words, or ``MIN_PLAIN_WHOLE`` if the windows span the item.
+    """
+    pairs = {}
+    for w in windows:
+        for a, b, mine, theirs in zip(w["starts"], w["starts"][1:], w["slots"], w["doc_slots"]):
+            pairs.setdefault((a, b, mine), set()).add(theirs)
+    votes: dict[str, Counter] = {}
+    for (_, _, mine), theirs in pairs.items():
+        votes.setdefault(mine, Counter()).update(theirs)
+    chosen = {mine: min(v, key=lambda x: (-v[x], x)) for mine, v in votes.items()}
+    kept = [p for p, theirs in pairs.items() if chosen[p[2]] in theirs]
+    values = [p for p in pairs if p[2] and not p[2].startswith(f"{UNIT}:")]
+    held = sum(bool(p[2]) and not p[2].startswith(f"{UNIT}:") for p in kept)
+    plain = sum(not p[2] for p in kept)
+    whole = sum(b - a for a, b, _ in pairs) == n_tokens
+    one_to_one = len(kept) == len(pairs) and all(len(x) == 1 for x in pairs.values()) and len(
+        {chosen[m] for m in chosen if m}) == sum(map(bool, chosen))
+    if not one_to_one or 2 * held < len(values) or plain < (MIN_PLAIN_WHOLE if whole else MIN_PLAIN):
+        return []
+    return [i for a, b, _ in kept for i in range(a, b)]
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        met = [[i for w in windows for i in range(w["starts"][0], w["starts"][-1])] if same
+               else met_tokens(n, windows) for n, same, windows in zip(
+                   *(b.column(c).to_pylist() for c in ("n_tokens", "same", "windows")))]
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in ("doc_id", "item_id", "n_tokens", "same")),
+             pa.array([sorted(set(m)) for m in met], pa.list_(pa.int32()))],
+            names=["doc_id", "item_id", "n_tokens", "same", "met"])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame,
                  broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """``doc_id, item_id, coverage, exact`` for each document that holds half an item or more.
@@ -181,13 +244,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
     ``coverage`` is the share of the item's tokens met by windows that line up with it;
     ``exact`` tells whether windows of the same words alone reach the threshold (case
     aside). Items of equal text count as the one of smallest ``item_id``. Items of fewer
-    than five tokens, null texts and rows with null id take no part. Rows that share a
-    ``doc_id`` are judged as one document. Shifts are judged one by one, tokens united.
+    than five tokens are met as a whole, word for word; items without token, null texts and
+    rows with null id take no part. Rows that share a ``doc_id`` are judged as one document.
+    Shifts are judged one by one, tokens united.
     """
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").groupBy("text").agg(
         F.min("item_id").cast("long").alias("item_id"))
     asked = stage(items.mapInArrow(_item_windows, WINDOW_SCHEMA), "asked")
-    lengths = [r["n"] for r in asked.select("n").distinct().collect()]  # 5 to 8 at most
+    lengths = sorted((r["n"], r["same"]) for r in asked.select("n", "same").distinct().collect())  # 16 at most
     hashes = asked.select("hash").distinct()
     wanted = None
     if hashes.count() <= broadcast_windows:
@@ -200,34 +264,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
     # what the broadcast lets through is little: written once, joined by hash
     met = stage(met, "met") if wanted is not None else met
     asked = asked.withColumnRenamed("id", "item_id")
-    slot_pairs = F.when(F.col("same"), F.array()).otherwise(
-        F.filter(F.arrays_zip("slots", "doc_slots"), lambda p: p["slots"] != ""))
     shifts = met.join(asked, "hash").groupBy(
-        "doc_id", "item_id", "n_tokens", "n", (F.col("doc_at") - F.col("at")).alias("shift")).agg(
-        F.collect_set("at").alias("places"),
-        F.collect_set(F.when(F.col("same"), F.col("at"))).alias("same_places"),
-        F.array_distinct(F.flatten(F.collect_set(slot_pairs))).alias("pairs"))
-
-    def distinct_values(side: str):
-        return F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
-
-    one_to_one = (distinct_values("slots") == F.size("pairs")) & (
-        distinct_values("doc_slots") == F.size("pairs"))
-    judged = shifts.withColumn(
-        "places", F.when(one_to_one, F.col("places")).otherwise(F.col("same_places")))
-
-    def tokens(places: str):
-        spans = F.transform(places, lambda p: F.sequence(p, p + F.col("n") - 1))
-        return F.array_distinct(F.flatten(spans))
-
-    met_tokens = judged.select("doc_id", "item_id", "n_tokens", tokens("places").alias("all"),
-                               tokens("same_places").alias("same"))
+        "doc_id", "item_id", "n_tokens", "n", "same", (F.col("doc_at") - F.col("at")).alias("shift")).agg(
+        F.collect_set(F.struct("starts", "slots", "doc_slots")).alias("windows"))
+    judged = shifts.select("doc_id", "item_id", "n_tokens", "same", "windows").mapInArrow(
+        _judge, "doc_id long, item_id long, n_tokens int, same boolean, met array<int>")
 
-    def share(name: str):
-        return F.size(F.array_distinct(F.flatten(F.collect_set(name)))) / F.col("n_tokens")
+    def share(met):
+        return F.size(F.array_distinct(F.flatten(F.collect_set(met)))) / F.col("n_tokens")
 
-    return met_tokens.groupBy("doc_id", "item_id", "n_tokens").agg(
-        share("all").alias("coverage"), (share("same") >= COVERAGE).alias("exact")).where(
+    return judged.groupBy("doc_id", "item_id", "n_tokens").agg(
+        share(F.col("met")).alias("coverage"),
+        (share(F.when(F.col("same"), F.col("met"))) >= COVERAGE).alias("exact")).where(
         F.col("coverage") >= COVERAGE).select("doc_id", "item_id", "coverage", "exact")
 
 

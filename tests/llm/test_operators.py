@@ -98,6 +98,27 @@ def test_decontamination(spark):
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def asked_in(spark, pairs):
+    """For each pair of an item and a document whether the one is found in the other."""
+    bench = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(pairs)], BENCH)
+    got = decontam.contaminated(docs_of(spark, [b for _, b in pairs]), bench).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in got}
+    return [(i, i) in found for i in range(len(pairs))]
+
+
+def test_items_dense_in_slots_short_items_and_scripts_without_blanks(spark):
+    assert asked_in(spark, [
+        ("What is 12 plus 7?", "so tell me What is 30 plus 4? I think 34"),
+        ("Solve 3x + 5 = 20 for x.", "now Solve 7x + 2 = 16 for x. and check"),
+        ("John pays 5 dollars for 2 kg of rice and 3 dollars for 4 kg of beans.",
+         "hear this: Mary pays 8 dollars for 3 kg of rice and 6 dollars for 9 kg of beans. what now"),
+        ("capital of France", "it is the capital of france they say"),
+        ("日本で一番高い山は何ですか", "問題です。日本で一番高い山は何ですか。答えて"),
+        ("capital of Peru", "the capital of old Peru"),
+        ("Add 12 and 30, 41 or 52", "nothing but 1 2 3 4 5 6 7 8 9 and 10 11"),
+        ("日本で一番高い山は何ですか", "日本の山は高いですか、何が一番好き")]) == [True] * 5 + [False] * 3
+
+
 # ---- 2
 
 def test_language_mixtures(spark):
