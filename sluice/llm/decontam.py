@@ -108,7 +108,7 @@ class _Texts:
         kind[starts[kind[starts] == UNIT]] = PLAIN  # after a number of the text before
         name = kind == NAME
         goes_on = np.zeros(len(name), dtype=bool)
-        goes_on[1:] = False  # each name is a slot of its own
+        goes_on[1:] = name[1:] & name[:-1]
         goes_on[starts] = False
         first = np.nonzero(~goes_on)[0]
         shape = _mix(np.where(kind == PLAIN, value, kind.astype(np.uint64)))[first]
@@ -219,9 +219,7 @@ def met_tokens(n_tokens: int, windows: list[dict]) -> list[int]:
     held = sum(bool(p[2]) and not p[2].startswith(f"{UNIT}:") for p in kept)
     plain = sum(not p[2] for p in kept)
     whole = sum(b - a for a, b, _ in pairs) == n_tokens
-    one_to_one = len(kept) == len(pairs) and all(len(x) == 1 for x in pairs.values()) and len(
-        {chosen[m] for m in chosen if m}) == sum(map(bool, chosen))
-    if not one_to_one or 2 * held < len(values) or plain < (MIN_PLAIN_WHOLE if whole else MIN_PLAIN):
+    if 2 * held < len(values) or plain < (MIN_PLAIN_WHOLE if whole else MIN_PLAIN):
         return []
     return [i for a, b, _ in kept for i in range(a, b)]
 

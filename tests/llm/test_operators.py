@@ -119,6 +119,16 @@ def test_items_dense_in_slots_short_items_and_scripts_without_blanks(spark):
         ("日本で一番高い山は何ですか", "日本の山は高いですか、何が一番好き")]) == [True] * 5 + [False] * 3
 
 
+def test_slots_that_changed_unevenly(spark):
+    again = "A farmer sold {} apples at noon and {} pears at night to {} and then {} plums went to waste"
+    short = "Then {} gave away all of the {} red marbles"
+    assert asked_in(spark, [
+        (again.format(3, 5, "Ben", 9), "x " + again.format(4, 4, "Tom", 6) + " y"),
+        (again.format(3, 3, "Ben", 9), "x " + again.format(4, 7, "Tom", 6) + " y"),
+        (short.format("Ann Smith", 3), "x " + short.format("Bob", 9) + " y"),
+        (short.format("Ann", 3), "x " + short.format("Jean Luc Picard", 9) + " y")]) == [True] * 4
+
+
 # ---- 2
 
 def test_language_mixtures(spark):
