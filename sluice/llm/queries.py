@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import (bpe, decontam, langid, linedup, quality, simhash, substring, topk, toxicity,
-                        warc)
+from sluice.llm import (bpe, decontam, dialogue, langid, linedup, periodic, quality, secretscan, simhash,
+                        substring, topk, toxicity, warc)
 from sluice.llm.common import held_out, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -77,10 +77,26 @@ def op10_doubling_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and its text without their repetitions."""
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by patterns and by character models."""
+    return secretscan.report(secretscan.secrets(table(spark, sf_dir, "documents")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    return dialogue.repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_template_decontamination, op2_language_mixture, op3_sorted_list_top_k, op4_merkle_audit,
     op5_golay_simhash, op6_line_chunks, op7_counterfactual_toxicity, op8_prefix_bpe,
-    op9_additive_quality, op10_doubling_windows)}
+    op9_additive_quality, op10_doubling_windows, op11_periodic_runs, op12_markov_secrets,
+    op13_conversation_repair)}
 
 ORACLES = {
     "op3_sorted_list_top_k": topk.TOP_K_SQL,

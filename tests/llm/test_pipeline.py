@@ -50,5 +50,5 @@ def test_stages_over_awkward_rows(spark, tmp_path):
 
 def test_every_operator_is_registered():
     names = set(contract.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert "pipeline" in names
