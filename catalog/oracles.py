@@ -513,3 +513,28 @@ _sql("stream_events", GROUPS, f"""SELECT
   FROM flagged f LEFT JOIN states s USING (g) WHERE copy = 0 AND NOT lost""")
 _sql("stream_dedup", GROUPS, """SELECT CAST(o_orderkey AS VARCHAR) AS idempotency_key, event_id,
   trade_group_id FROM flagged WHERE copy = 0 AND NOT lost""")
+_STREAM = """CASE WHEN copy = 0 AND s.status = 'FAIL' THEN 'incomplete' ELSE 'event' END AS kind,
+  CASE WHEN copy = 1 THEN 'DUPLICATE' WHEN s.status IS NULL THEN 'DLQ_ROUTED'
+       WHEN s.status = 'SUCCESS' THEN 'SUCCESS' END AS outcome,
+  CASE WHEN copy = 0 AND s.status IS NULL THEN 'NO_CONTROL_DOC' END AS failure_reason"""
+_sql("stream_outcomes", GROUPS, f"""SELECT f.trade_group_id, {_TID}, {_STREAM},
+  CAST(1 AS BIGINT) AS decisions, CAST(1 AS BIGINT) AS records
+  FROM flagged f LEFT JOIN states s USING (g) WHERE NOT lost""")
+_sql("stream_late", GROUPS, f"""SELECT f.trade_group_id, {_TID},
+  CASE WHEN copy = 0 AND r % 2 = 0 AND s.g IS NOT NULL THEN 'incomplete' ELSE 'event' END AS kind,
+  CASE WHEN copy = 1 THEN 'DUPLICATE'
+       WHEN r % 2 = 1 OR s.g IS NULL THEN 'DLQ_ROUTED' END AS outcome,
+  CASE WHEN copy = 0 AND (r % 2 = 1 OR s.g IS NULL) THEN 'NO_CONTROL_DOC' END AS failure_reason,
+  CAST(1 AS BIGINT) AS decisions, CAST(1 AS BIGINT) AS records
+  FROM flagged f LEFT JOIN states s USING (g) WHERE NOT lost""")
+_sql("stream_state_large", O, f"""SELECT 'event' AS kind, {_TID}, 'SUCCESS' AS outcome,
+  CAST(NULL AS VARCHAR) AS status, CAST(NULL AS BIGINT) AS expected_count,
+  CAST(NULL AS BIGINT) AS actual_count FROM o
+  UNION ALL SELECT 'group', NULL, NULL, 'SUCCESS', count(*), count(*) FROM o""")
+_sql("stream_counters", GROUPS, """SELECT count(*) AS total,
+  count(*) FILTER (WHERE copy = 0 AND s.status IS NOT NULL) AS processed_normally,
+  count(*) FILTER (WHERE copy = 1) AS duplicates,
+  count(*) FILTER (WHERE copy = 0 AND s.status IS NULL) AS quarantined_control_doc,
+  (SELECT count(*) FROM states WHERE status = 'SUCCESS') AS whole_groups,
+  (SELECT count(*) FROM states WHERE status = 'FAIL') AS failed_groups
+  FROM flagged f LEFT JOIN states s USING (g) WHERE NOT lost""")

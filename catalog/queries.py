@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -767,46 +769,91 @@ def csv_verdicts(spark, sf_dir):
 
 # --- streams ----------------------------------------------------------------------------
 
-def _record_tables(spark, sf_dir):
-    """Order records with group faults and their control records, stored as tables.
+CLOCK_CONTROL = '{"trade_group_id":"clock","expected_count":0,"trade_ids":[]}'
+CLOCK_EVENT = '{"trade_group_id":"clock","trade_id":"tick","idempotency_key":"tick"}'
+
+
+def _tick(spark, value: str):
+    """A record sent three hours after all others, in a group of its own.
 
-    A last record on either side, sent three hours later, moves the stream's clock past
-    all deadlines (the slower side sets the pace); it belongs to a group of its own.
+    One on either side moves the stream's clock past all deadlines (the slower side sets
+    the pace).
     """
-    root = f"{work_dir(spark)}/records/{uuid.uuid4().hex}"
+    return spark.range(1).select(
+        F.lit("clock").alias("key"), F.lit(value).alias("value"),
+        F.lit(ORDERS.topics.control).alias("topic"), F.lit(0).alias("partition"),
+        F.lit(0).cast("bigint").alias("offset"),
+        (F.lit(fx.PUBLISHED_AT).cast("timestamp") + F.expr("INTERVAL 3 HOURS")).alias("timestamp"),
+        F.create_map().cast(HEADERS_TYPE).alias("headers"), F.lit(0).cast("bigint").alias("arrival"))
+
+
+def _announced(spark, sf_dir):
+    """Control records of the orders; those of some groups were never sent."""
     modulus, rest = fx.GROUP_WITHOUT_CONTROL
-    control = fx.published(fx.orders_rows(spark, sf_dir), ORDERS).control.where(
+    return fx.published(fx.orders_rows(spark, sf_dir), ORDERS).control.where(
         fx.group_number("key") % modulus != rest)
 
-    def clock(value: str):
-        return spark.range(1).select(
-            F.lit("clock").alias("key"), F.lit(value).alias("value"),
-            F.lit(ORDERS.topics.control).alias("topic"), F.lit(0).alias("partition"),
-            F.lit(0).cast("bigint").alias("offset"),
-            (F.lit(fx.PUBLISHED_AT).cast("timestamp") + F.expr("INTERVAL 3 HOURS")).alias("timestamp"),
-            F.create_map().cast(HEADERS_TYPE).alias("headers"), F.lit(0).cast("bigint").alias("arrival"))
 
-    publish.append_records(control, f"{root}/control")
+def _record_tables(spark, sf_dir):
+    """Order records with group faults and their control records, stored as tables."""
+    root = f"{work_dir(spark)}/records/{uuid.uuid4().hex}"
+    publish.append_records(_announced(spark, sf_dir), f"{root}/control")
     publish.append_records(fx.orders_with_group_faults(spark, sf_dir), f"{root}/events")
-    publish.append_records(clock(
-        '{"trade_group_id":"clock","expected_count":0,"trade_ids":[]}'), f"{root}/control")
-    publish.append_records(clock(
-        '{"trade_group_id":"clock","trade_id":"tick","idempotency_key":"tick"}'), f"{root}/events")
+    publish.append_records(_tick(spark, CLOCK_CONTROL), f"{root}/control")
+    publish.append_records(_tick(spark, CLOCK_EVENT), f"{root}/events")
     return f"{root}/events", f"{root}/control"
 
 
-def _stream_decisions(spark, sf_dir):
+def _late_tables(spark, sf_dir):
+    """The same records, but every second row comes when the clock has long moved on.
+
+    One file is one micro-batch: rows in time and the ticks, a record that lets the timers
+    run out, and the rows that are late.
+    """
+    root = f"{work_dir(spark)}/records/{uuid.uuid4().hex}"
+    records = stage(fx.orders_with_group_faults(spark, sf_dir), "sent")
+    in_time = fx.first_run(records)
+    publish.append_records(_announced(spark, sf_dir).unionByName(_tick(spark, CLOCK_CONTROL)).coalesce(1),
+                           f"{root}/control")
+    ticks = _tick(spark, CLOCK_EVENT).withColumn("offset", F.lit(1 << 30).cast("bigint"))
+    for rows in (records.where(in_time).unionByName(ticks), ticks, records.where(~in_time)):
+        # File streams read by time of change, which some stores know to the second only.
+        publish.append_records(rows.coalesce(1), f"{root}/events")
+        time.sleep(1.1)
+    return f"{root}/events", f"{root}/control"
+
+
+def _large_group_tables(spark, sf_dir, files=12):
+    """All orders as one group, its events in many files."""
+    root = f"{work_dir(spark)}/records/{uuid.uuid4().hex}"
+    sent = fx.published(fx.orders_rows(spark, sf_dir), replace(ORDERS, group_size=1 << 30))
+    publish.append_records(sent.control.unionByName(_tick(spark, CLOCK_CONTROL)).coalesce(1), f"{root}/control")
+    publish.append_records(sent.events.repartitionByRange(files, "arrival"), f"{root}/events")
+    time.sleep(1.1)
+    publish.append_records(_tick(spark, CLOCK_EVENT), f"{root}/events")
+    return f"{root}/events", f"{root}/control"
+
+
+def _stream_decisions(spark, sf_dir, tables=_record_tables, max_files=None):
     """Decisions of the streaming job over the stored records, run until they are used up."""
     use_rocksdb(spark)
-    events, control = _record_tables(spark, sf_dir)
+    events, control = tables(spark, sf_dir)
     out = f"{work_dir(spark)}/stream/{uuid.uuid4().hex}"
     decisions = decide_stream(
-        stream_records(spark, events), control_stream(stream_records(spark, control)), fx.CFG,
-        event_time=True)
+        stream_records(spark, events, max_files), control_stream(stream_records(spark, control)),
+        fx.CFG, event_time=True)
     job = (decisions.writeStream.format("parquet").option("path", f"{out}/decisions")
            .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
     job.awaitTermination()
-    return spark.read.schema(decisions.schema).parquet(f"{out}/decisions")
+    return spark.read.schema(decisions.schema).parquet(f"{out}/decisions").where(
+        "trade_group_id <> 'clock'")
+
+
+def _per_event(decisions):
+    """How often each event was decided, and how."""
+    return decisions.where("kind <> 'group'").groupBy(
+        "trade_group_id", "trade_id", "kind", "outcome", "failure_reason").agg(
+        F.count("*").alias("decisions"), F.countDistinct("arrival").alias("records"))
 
 
 @query
@@ -819,8 +866,9 @@ def stream_group_status(spark, sf_dir):
 
 @query
 def stream_events(spark, sf_dir):
-    """Every event the stream settled, whatever became of it."""
-    return _stream_decisions(spark, sf_dir).where("kind <> 'group' AND trade_group_id <> 'clock'").select(
+    """Every event the stream settled, whatever became of it; copies of one are not settled."""
+    return _stream_decisions(spark, sf_dir).where(
+        "kind <> 'group' AND trade_group_id <> 'clock' AND outcome IS DISTINCT FROM 'DUPLICATE'").select(
         "kind", "trade_group_id", "trade_id", "outcome", "failure_reason")
 
 
@@ -838,3 +886,38 @@ def stream_dedup(spark, sf_dir):
     job.awaitTermination()
     return spark.read.schema(once_each.schema).parquet(f"{out}/events").where(
         "trade_group_id <> 'clock'")
+
+
+@query
+def stream_outcomes(spark, sf_dir):
+    """Every record of the stream, copies included, has one decision."""
+    return _per_event(_stream_decisions(spark, sf_dir))
+
+
+@query
+def stream_late(spark, sf_dir):
+    """The same when half of the records come after all deadlines have passed."""
+    return _per_event(_stream_decisions(spark, sf_dir, _late_tables, max_files=1))
+
+
+@query
+def stream_state_large(spark, sf_dir):
+    """One group of all orders, gathered over many micro-batches."""
+    decisions = _stream_decisions(spark, sf_dir, _large_group_tables, max_files=1)
+    return decisions.select(
+        "kind", "trade_id", "outcome", "status", F.col("expected_count").cast("bigint").alias("expected_count"),
+        F.col("actual_count").cast("bigint").alias("actual_count"))
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """Counters the streaming job wrote next to its lake; the tick is not decided yet."""
+    use_rocksdb(spark)
+    events, control = _record_tables(spark, sf_dir)
+    out = f"{work_dir(spark)}/stream/{uuid.uuid4().hex}"
+    run.run_stream(
+        stream_records(spark, events), stream_records(spark, control), f"{out}/lake", f"{out}/checkpoint",
+        _registry(spark), fx.CFG, available_now=True, event_time=True,
+        ingestion_time=fx.INGESTED_AT).awaitTermination()
+    return run.stream_counters(spark, f"{out}/lake").select(
+        "total", "processed_normally", "duplicates", "quarantined_control_doc", "whole_groups", "failed_groups")

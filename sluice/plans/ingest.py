@@ -136,7 +136,17 @@ def write_result(records: DataFrame, result: IngestResult, root: str, cfg: Pipel
     validated, decisions = result.validated, result.settled.decisions
     counts = {r["validation_status"]: r["count"]
               for r in validated.groupBy("validation_status").count().collect()}
+    write_verdicts(validated, counts, root, cfg, do)
+    do("failed_groups", lambda: write_dead_letters(
+        ledger.failed_group_records(result.settled.status), root))
+    if intake.outcome_counts(decisions).first()["dlq_routed"]:
+        do("dead_letters", lambda: write_dead_letters(
+            intake.dead_letters(records, decisions), root))
+
 
+def write_verdicts(validated: DataFrame, counts: dict[str, int], root: str, cfg: PipelineConfig,
+                   do: Callable[[str, Callable[[], None]], None] = _now) -> None:
+    """Validated events by verdict: lake, quarantine and dead letters of the rejected."""
     def lake(frame: DataFrame, prefix: str, n: int) -> Callable[[], None]:
         def write() -> None:
             size = record_bytes(frame.sparkSession, root, prefix, cfg)
@@ -150,11 +160,6 @@ def write_result(records: DataFrame, result: IngestResult, root: str, cfg: Pipel
         do("quarantined", lake(verdict.quarantined(validated), QUARANTINE, n))
     if counts.get(REJECTED):
         do("rejected", lambda: write_dead_letters(verdict.rejected_records(validated, cfg), root))
-    do("failed_groups", lambda: write_dead_letters(
-        ledger.failed_group_records(result.settled.status), root))
-    if intake.outcome_counts(decisions).first()["dlq_routed"]:
-        do("dead_letters", lambda: write_dead_letters(
-            intake.dead_letters(records, decisions), root))
 
 
 def append_retries(again: DataFrame, path: str) -> None:

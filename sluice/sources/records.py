@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,17 +29,56 @@ def with_arrival(records: DataFrame) -> DataFrame:
     return records.withColumn(ARRIVAL, arrival())
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, *paths: str) -> DataFrame:
     """Records stored as Parquet (a published, retry or dead-letter table)."""
-    return with_arrival(spark.read.schema(RECORD_TYPE).parquet(path))
+    return with_arrival(spark.read.schema(RECORD_TYPE).parquet(*paths))
 
 
 def stream_records(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same table as a stream; ``max_files`` per trigger, if given, bounds each micro-batch."""
+    """The same table as a stream; ``max_files`` per trigger, if given, bounds each micro-batch.
+
+    The claim of a record is its file.
+    """
     reader = spark.readStream.schema(RECORD_TYPE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_arrival(reader.parquet(path))
+    return with_arrival(reader.parquet(path).withColumn("claim", F.col("_metadata.file_path")))
+
+
+def read_claimed(decisions: DataFrame) -> DataFrame:
+    """Decisions with the key, value, topic and headers of their records.
+
+    A claim names the file that holds the record, so that only the files of these decisions
+    are listed and read. Their number is bounded by what a micro-batch settles.
+    """
+    spark = decisions.sparkSession
+    found = [r["claim"] for r in decisions.select("claim").distinct().collect() if r["claim"]]
+    records = read_records(spark, *found) if found else with_arrival(spark.createDataFrame([], RECORD_TYPE))
+    return _with_records(decisions, records)
+
+
+def read_claimed_kafka(options: dict[str, str]) -> Callable[[DataFrame], DataFrame]:
+    """The same from Kafka: only the offsets between the decisions' first and last are read."""
+    def fetch(decisions: DataFrame) -> DataFrame:
+        raw = decisions.sparkSession.read.format("kafka").options(
+            **options, **claimed_range(decisions, options["subscribe"])).load()
+        return _with_records(decisions, with_arrival(decode_kafka(raw)))
+    return fetch
+
+
+def claimed_range(decisions: DataFrame, topic: str) -> dict[str, str]:
+    """Offsets per partition that hold all records of the decisions; the end is exclusive."""
+    place = F.shiftright(ARRIVAL, _OFFSET_BITS)
+    offset = F.col(ARRIVAL) - F.shiftleft(place, _OFFSET_BITS)
+    bounds = decisions.groupBy(place.alias("partition")).agg(
+        F.min(offset).alias("first"), F.max(offset).alias("last")).collect()
+    return {"startingOffsets": json.dumps({topic: {str(r["partition"]): r["first"] for r in bounds}}),
+            "endingOffsets": json.dumps({topic: {str(r["partition"]): r["last"] + 1 for r in bounds}})}
+
+
+def _with_records(decisions: DataFrame, records: DataFrame) -> DataFrame:
+    return decisions.drop("claim").withColumnRenamed("trade_group_id", "group_id").join(
+        records.select(ARRIVAL, "key", "value", "topic", "headers"), ARRIVAL)
 
 
 def kafka_options(servers: str, topic: str, max_offsets: int | None = None) -> dict[str, str]:

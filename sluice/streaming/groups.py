@@ -1,9 +1,11 @@
 """Group state machine of the stream.
 
-Control documents and events of one group meet in keyed state. Announced ids are kept
-in a list that grows no longer than the control document; ids that were not announced
-are only counted, in a map on disk. Timers stand for the wait for a control document
-and for the deadline of the group.
+Control documents and events of one group meet in keyed state. State holds no payloads: an
+event lies there as its arrival number and its claim, which says where its record can be
+read again. Announced ids are a map from id to the event that fills it, with a counter of
+those filled, so that an event costs two look-ups however large its group is, and only the
+settling of a group reads the map. Timers stand for the wait for a control document, for
+the deadline of the group, and for the time a closed group is remembered.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from collections.abc import Iterator
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql import types as T
 
 from sluice.spec import (
     BATCH_TIMEOUT, DLQ_ROUTED, DUPLICATE, GROUP_FAIL, GROUP_SUCCESS, NO_CONTROL_DOC, PipelineConfig,
@@ -23,72 +24,63 @@ CONTROL = "control"
 EVENT = "event"
 COPY = "copy"  # an event whose key was marked before; only passes through
 GROUP = "group"
-INCOMPLETE = "incomplete"
+INCOMPLETE = "incomplete"  # an announced event whose group failed
+UNANNOUNCED = "unannounced"  # an event of a failed group whose id was never announced
 
 # Input: both kinds of record under one schema
 TAGGED_TYPE = (
-    "trade_group_id string, kind string, trade_id string, key string, value string, "
-    "topic string, attempt_count int, arrival bigint, expected_count int, "
-    "trade_ids array<string>, timestamp timestamp"
+    "trade_group_id string, kind string, trade_id string, attempt_count int, arrival bigint, "
+    "claim string, time_ms bigint, expected_count int, trade_ids array<string>"
 )
 
-# Output: decisions on events and on groups
+# Output: decisions on events and on groups; an event's record is fetched by its claim
 DECISION_TYPE = (
-    "kind string, trade_group_id string, trade_id string, key string, value string, "
-    "topic string, attempt_count int, arrival bigint, outcome string, "
-    "failure_reason string, status string, expected_count int, actual_count int, "
-    "missing_count int"
+    "kind string, trade_group_id string, trade_id string, attempt_count int, arrival bigint, "
+    "claim string, outcome string, failure_reason string, status string, "
+    "expected_count int, actual_count int, missing_count int"
 )
 _OUT = [f.split()[0] for f in DECISION_TYPE.split(", ")]
 _MARKED = [f.split()[0] for f in TAGGED_TYPE.split(", ")]
 _Marked = Row(*_MARKED)
-_EVENT_STATE = (
-    "trade_id string, key string, value string, topic string, attempt_count int, "
-    "arrival bigint, due bigint"
-)
-_CHUNK = 1000
-
-
 _Decision = Row(*_OUT)
 
+_HELD = "arrival bigint, claim string, attempt_count int"
+_EVENT = f"trade_id string, {_HELD}"
+_CHUNK = 1000
+_AWAITED = -1  # arrival of an announced id that no event has filled yet
+_SLOTS_PER_WAIT = 60  # waiting events share that many moments at which they are given up
+
 
 def _row(**values) -> Row:
     return _Decision(*[values.get(name) for name in _OUT])
 
 
-def _chunks(rows) -> Iterator[list]:
-    """Rows as tuples, a bounded number at a time."""
-    chunk: list = []
-    for row in rows:
-        chunk.append(tuple(row))
-        if len(chunk) >= _CHUNK:
-            yield chunk
-            chunk = []
-    if chunk:
-        yield chunk
-
-
 class KeyMarks(StatefulProcessor):
     """Keyed by idempotency key: the first event marks it, later ones become copies.
 
-    The mark goes when its time to live has passed. Time is the clock's, so no event is
-    ever too old to be decided.
+    The mark holds for its time to live, by the clock or, with ``event_time``, counted from
+    the marking event's own time: no watermark stands before the mark, so an event of any
+    age is decided. Within a micro-batch one event at most marks the key, that of smallest
+    arrival number.
     """
 
-    def __init__(self, cfg: PipelineConfig):
+    def __init__(self, cfg: PipelineConfig, event_time: bool = False):
         self.ttl_ms = cfg.dedup_ttl_minutes * 60 * 1000
+        self.event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.mark = handle.getValueState("mark", "arrival bigint", ttlDurationMs=self.ttl_ms)
+        self.handle = handle
+        kept = None if self.event_time else self.ttl_ms
+        self.mark = handle.getValueState("mark", "until bigint", ttlDurationMs=kept)
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        """Within a micro-batch the smallest arrival number is the first."""
+        until = self.mark.get()[0] if self.mark.exists() else None
         first = None
-        marked = self.mark.exists()
         for r in rows:
+            marked = until is not None and (not self.event_time or r.time_ms < until)
             if marked or (first is not None and r.arrival > first.arrival):
                 yield self._passed(r, COPY)
                 continue
@@ -96,9 +88,18 @@ class KeyMarks(StatefulProcessor):
                 yield self._passed(first, COPY)
             first = r
         if first is not None:
-            self.mark.update((first.arrival,))
+            if self.event_time:
+                if until is not None:
+                    self.handle.deleteTimer(until)
+                self.handle.registerTimer(first.time_ms + self.ttl_ms)
+            self.mark.update((first.time_ms + self.ttl_ms,))
             yield self._passed(first, EVENT)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.mark.exists() and self.mark.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.mark.clear()
+        return iter(())
+
     @staticmethod
     def _passed(r: Row, kind: str) -> Row:
         return _Marked(*[kind if name == "kind" else r[name] for name in _MARKED])
@@ -113,187 +114,181 @@ class GroupProcessor(StatefulProcessor):
         self.wait_ms = cfg.control_wait_ms
         self.timeout_ms = cfg.group_timeout_ms
         self.closed_ttl_ms = cfg.dedup_ttl_minutes * 60 * 1000
+        self.slot_ms = max(1, self.wait_ms // _SLOTS_PER_WAIT)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.control = handle.getValueState(
-            "control", "expected_count int, trade_ids array<string>, deadline bigint")
-        # received: events of announced ids; waiting: events without control document, in
-        # the one of two lists that `side` names, so that one can be copied to the other
-        self.received = handle.getListState("received", _EVENT_STATE)
-        self.lists = [handle.getListState("waiting_a", _EVENT_STATE),
-                      handle.getListState("waiting_b", _EVENT_STATE)]
-        self.side = handle.getValueState("side", "side int")
-        self.strays = handle.getMapState(
-            "strays", "trade_id string",
-            "key string, value string, topic string, attempt_count int, arrival bigint")
-        self.tally = handle.getValueState("tally", "strays int, first_stray bigint")
-        # By the clock the memory of a closed group expires by itself; event time has no
-        # time to live, there it only stops counting.
-        self.closed = handle.getValueState("closed", "until bigint") if self.event_time else \
-            handle.getValueState("closed", "until bigint", ttlDurationMs=self.closed_ttl_ms)
+        # An open group: what was announced and how much of it is there.
+        self.open = handle.getValueState(
+            "open", "expected int, wanted int, filled int, last bigint, stale boolean, "
+                    "strays int, first_stray bigint, deadline bigint")
+        self.slots = handle.getMapState("slots", "trade_id string", _HELD)
+        self.strays = handle.getListState("strays", _EVENT)
+        self.stray_ids = handle.getMapState("stray_ids", "trade_id string", "seen boolean")
+        # Events without control document, in numbered parts per moment they are given up.
+        self.dues = handle.getMapState("dues", "due bigint", "parts int")
+        self.waiting = handle.getMapState(
+            "waiting", "due bigint, part int",
+            f"events array<struct<{', '.join(f.replace(' ', ':') for f in _EVENT.split(', '))}>>")
+        self.closed = handle.getValueState("closed", "until bigint")
 
     def close(self) -> None:
         pass
 
-    def _now(self, timer_values) -> int:
-        """Watermark in event time (0 at first), clock otherwise."""
-        if self.event_time:
-            return timer_values.getCurrentWatermarkInMs()
-        return timer_values.getCurrentProcessingTimeInMs()
-
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         group = key[0]
-        now = self._now(timerValues)
-        arrived: list = []
+        clock = timerValues.getCurrentProcessingTimeInMs() if not self.event_time else None
+        arrived: dict[int, list] = {}
         for r in rows:
-            stamp = max(now, int(r.timestamp.timestamp() * 1000)) if self.event_time else now
+            now = r.time_ms if self.event_time else clock
             if r.kind == CONTROL:
-                self._register(r, stamp)
+                yield from self._register(group, r, now)
             elif r.kind == COPY:
-                yield _row(kind=EVENT, trade_group_id=group, trade_id=r.trade_id, key=r.key,
-                           value=r.value, topic=r.topic, attempt_count=r.attempt_count,
-                           arrival=r.arrival, outcome=DUPLICATE)
+                yield _row(kind=EVENT, trade_group_id=group, trade_id=r.trade_id,
+                           attempt_count=r.attempt_count, arrival=r.arrival, claim=r.claim,
+                           outcome=DUPLICATE)
             else:
-                arrived.append((r.trade_id, r.key, r.value, r.topic, r.attempt_count,
-                                r.arrival, stamp + self.wait_ms))
-                if len(arrived) >= _CHUNK:
-                    self._take(arrived)
-                    arrived = []
-        self._take(arrived)
-        if self.control.exists():
+                due = -(-(now + self.wait_ms) // self.slot_ms) * self.slot_ms
+                part = arrived.setdefault(due, [])
+                part.append((r.trade_id, r.arrival, r.claim, r.attempt_count))
+                if len(part) >= _CHUNK:
+                    yield from self._take(group, due, arrived.pop(due))
+        for due, part in arrived.items():
+            yield from self._take(group, due, part)
+        if self.open.exists():
             yield from self._settle(group)
 
-    def _register(self, doc: Row, now: int) -> None:
+    def _register(self, group: str, doc: Row, now: int) -> Iterator[Row]:
         """First document wins while the group is open or remembered as closed."""
-        if self.control.exists():
-            return
-        if self.closed.exists() and self.closed.get()[0] > now:
+        if self.open.exists() or (self.closed.exists() and self.closed.get()[0] > now):
             return
+        ids = set(doc.trade_ids)
+        for trade_id in ids:
+            self.slots.updateValue((trade_id,), (_AWAITED, None, 0))
         deadline = now + self.timeout_ms
-        self.control.update((doc.expected_count, list(doc.trade_ids), deadline))
-        self.tally.update((0, None))
+        self.open.update((doc.expected_count, len(ids), 0, None, False, 0, None, deadline))
         self.handle.registerTimer(deadline)
-        waiting = self._waiting()
-        if waiting.exists():
-            for held in _chunks(waiting.get()):
-                self._take(held)
-            waiting.clear()
-        self.side.clear()
-
-    def _side(self) -> int:
-        return self.side.get()[0] if self.side.exists() else 0
-
-    def _waiting(self):
-        return self.lists[self._side()]
-
-    def _take(self, events: list) -> None:
+        for due, parts in [(k[0], v[0]) for k, v in self.dues.iterator()]:
+            self.handle.deleteTimer(due)
+            for events in self._parts(due, parts):
+                yield from self._fill(group, events)
+
+    def _parts(self, due: int, parts: int) -> Iterator[list]:
+        """Waiting events of one moment, part by part; they wait no longer."""
+        self.dues.removeKey((due,))
+        for part in range(parts):
+            events = [tuple(e) for e in self.waiting.getValue((due, part))[0]]
+            self.waiting.removeKey((due, part))
+            yield events
+
+    def _take(self, group: str, due: int, events: list) -> Iterator[Row]:
         """Put events under their control document, or let them wait for it."""
-        if not events:
-            return
-        if not self.control.exists():
-            self._waiting().appendList(events)
-            for due in {e[6] for e in events}:
-                self.handle.registerTimer(due)
+        if self.open.exists():
+            yield from self._fill(group, events)
             return
-        wanted = set(self.control.get()[1])
-        mine = [e for e in events if e[0] in wanted]
-        if mine:
-            self.received.appendList(mine)
-        others = [e for e in events if e[0] not in wanted]
-        if others:
-            count, first = self.tally.get()
-            for e in others:
-                if not self.strays.containsKey((e[0],)):
-                    self.strays.updateValue((e[0],), e[1:6])
-                    count += 1
-                first = e[5] if first is None else min(first, e[5])
-            self.tally.update((count, first))
-
-    def _firsts(self) -> dict:
-        """Per announced id its first event; at most as many as were announced."""
-        firsts: dict = {}
-        if self.received.exists():
-            for e in self.received.get():
-                if e[0] not in firsts or e[5] < firsts[e[0]][5]:
-                    firsts[e[0]] = tuple(e)
-        return firsts
+        held = self.dues.getValue((due,))
+        parts = held[0] if held is not None else 0
+        if not parts:
+            self.handle.registerTimer(due)
+        self.waiting.updateValue((due, parts), ([tuple(e) for e in events],))
+        self.dues.updateValue((due,), (parts + 1,))
+
+    def _fill(self, group: str, events: list) -> Iterator[Row]:
+        """Announced ids are filled by their first event; its repeats are duplicates."""
+        expected, wanted, filled, last, stale, strays, first_stray, deadline = self.open.get()
+        unannounced = []
+        for e in events:
+            trade_id, arrival = e[0], e[1]
+            held = self.slots.getValue((trade_id,))
+            if held is None:
+                unannounced.append(e)
+                first_stray = arrival if first_stray is None else min(first_stray, arrival)
+                if not self.stray_ids.containsKey((trade_id,)):
+                    self.stray_ids.updateValue((trade_id,), (True,))
+                    strays += 1
+                continue
+            if held[0] == _AWAITED:
+                filled += 1
+            elif arrival > held[0]:
+                yield self._event(group, e, DUPLICATE)
+                continue
+            else:
+                yield self._event(group, (trade_id, *held), DUPLICATE)
+                stale = stale or held[0] == last
+            last = arrival if last is None else max(last, arrival)
+            self.slots.updateValue((trade_id,), e[1:])
+        if unannounced:
+            self.strays.appendList(unannounced)
+        self.open.update((expected, wanted, filled, last, stale, strays, first_stray, deadline))
+
+    @staticmethod
+    def _event(group: str, e: tuple, outcome: str | None, kind: str = EVENT,
+               reason: str | None = None) -> Row:
+        return _row(kind=kind, trade_group_id=group, trade_id=e[0], arrival=e[1], claim=e[2],
+                    attempt_count=e[3], outcome=outcome, failure_reason=reason)
+
+    def _received(self) -> Iterator[tuple]:
+        for k, v in self.slots.iterator():
+            if v[0] != _AWAITED:
+                yield (k[0], *v)
 
     def _settle(self, group: str) -> Iterator[Row]:
         """Close the group if it is whole."""
-        expected, ids, deadline = self.control.get()
-        wanted = set(ids)
-        if expected != len(wanted) or not wanted:
-            return
-        firsts = self._firsts()
-        if len(firsts) < len(wanted):
+        expected, wanted, filled, last, stale, strays, first_stray, deadline = self.open.get()
+        if not wanted or expected != wanted or filled < wanted:
             return
-        last = max(e[5] for e in firsts.values())
-        strays, first_stray = self.tally.get()
+        if stale:
+            # The event that was last has given way to an earlier one of its id.
+            last = max(e[1] for e in self._received())
+            self.open.update((expected, wanted, filled, last, False, strays, first_stray, deadline))
         if first_stray is not None and first_stray < last:
             return
-        for e in firsts.values():
-            yield _row(kind=EVENT, trade_group_id=group, trade_id=e[0], key=e[1], value=e[2],
-                       topic=e[3], attempt_count=e[4], arrival=e[5], outcome=SUCCESS)
+        for e in self._received():
+            yield self._event(group, e, SUCCESS)
         yield _row(kind=GROUP, trade_group_id=group, arrival=last, status=GROUP_SUCCESS,
-                   expected_count=expected, actual_count=len(wanted), missing_count=0)
+                   expected_count=expected, actual_count=wanted, missing_count=0)
         if strays:
             # Later than the completion: they find no control document any more.
-            for k, v in self.strays.iterator():
-                yield _row(kind=EVENT, trade_group_id=group, trade_id=k[0], key=v[0],
-                           value=v[1], topic=v[2], attempt_count=v[3], arrival=v[4],
-                           outcome=DLQ_ROUTED, failure_reason=NO_CONTROL_DOC)
+            for e in self.strays.get():
+                yield self._event(group, tuple(e), DLQ_ROUTED, reason=NO_CONTROL_DOC)
         self.handle.deleteTimer(deadline)
         self._forget()
-        self.closed.update((deadline - self.timeout_ms + self.closed_ttl_ms,))
+        until = deadline - self.timeout_ms + self.closed_ttl_ms
+        self.closed.update((until,))
+        self.handle.registerTimer(until)
 
     def _forget(self) -> None:
-        self.control.clear()
-        self.received.clear()
-        self.strays.clear()
-        self.tally.clear()
+        for state in (self.open, self.slots, self.strays, self.stray_ids):
+            state.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        group = key[0]
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        if self.control.exists() and self.control.get()[2] <= due:
+        group, moment = key[0], expiredTimerInfo.getExpiryTimeInMs()
+        if self.open.exists() and self.open.get()[-1] <= moment:
             yield from self._fail(group)
-        if self._waiting().exists():
-            yield from self._give_up(group, due)
+        held = self.dues.getValue((moment,))
+        if held is not None:
+            for events in self._parts(moment, held[0]):
+                for e in events:
+                    yield self._event(group, e, DLQ_ROUTED, reason=NO_CONTROL_DOC)
+        if self.closed.exists() and self.closed.get()[0] <= moment:
+            self.closed.clear()
 
     def _fail(self, group: str) -> Iterator[Row]:
-        expected, ids, _ = self.control.get()
-        firsts = self._firsts()
-        strays, _ = self.tally.get()
+        expected, wanted, filled, _, _, strays, _, _ = self.open.get()
         yield _row(kind=GROUP, trade_group_id=group, outcome=DLQ_ROUTED,
                    failure_reason=BATCH_TIMEOUT, status=GROUP_FAIL, expected_count=expected,
-                   actual_count=len(firsts) + strays, missing_count=len(set(ids)) - len(firsts))
-        for e in firsts.values():
-            yield _row(kind=INCOMPLETE, trade_group_id=group, trade_id=e[0], key=e[1],
-                       value=e[2], topic=e[3], attempt_count=e[4], arrival=e[5])
+                   actual_count=filled + strays, missing_count=wanted - filled)
+        for e in self._received():
+            yield self._event(group, e, None, INCOMPLETE)
+        if strays:
+            for e in self.strays.get():
+                yield self._event(group, tuple(e), None, UNANNOUNCED)
         self._forget()
 
-    def _give_up(self, group: str, due: int) -> Iterator[Row]:
-        """Dead-letter the events that waited long enough; the others move to the other list."""
-        side = self._side()
-        kept = self.lists[1 - side]
-        for chunk in _chunks(self.lists[side].get()):
-            later = [e for e in chunk if e[6] > due]
-            if later:
-                kept.appendList(later)
-            for e in chunk:
-                if e[6] <= due:
-                    yield _row(kind=EVENT, trade_group_id=group, trade_id=e[0], key=e[1],
-                               value=e[2], topic=e[3], attempt_count=e[4], arrival=e[5],
-                               outcome=DLQ_ROUTED, failure_reason=NO_CONTROL_DOC)
-        self.lists[side].clear()
-        if kept.exists():
-            self.side.update((1 - side,))
-        else:
-            self.side.clear()
-
 
 class EventTimeGroupProcessor(GroupProcessor):
-    """The same on event time: timers follow the watermark, so runs can be repeated."""
+    """The same on event time: waits and deadlines count from a record's own time and end
+    when the watermark has passed, so that runs can be repeated. What comes after its own
+    wait has passed is decided at once."""
 
     event_time = True

@@ -3,28 +3,35 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.headers import header_int, make_headers
 from sluice.functions.text import iso_utc
 from sluice.operators import intake, ledger, verdict
-from sluice.session import ROCKSDB_PROVIDER
-from sluice.sources.lake import (
-    DATA, QUARANTINE, forget_run, once_per_run, write_dead_letters, write_lake,
-)
+from sluice.plans.ingest import write_verdicts
+from sluice.session import ROCKSDB_PROVIDER, drop_run, stage
+from sluice.sources.lake import forget_run, lake_path, once_per_run, write_dead_letters
+from sluice.sources.records import read_claimed
 from sluice.sources.registry import Registry
 from sluice.sources.tables import ARRIVAL
 from sluice.spec import (
-    DLQ_ROUTED, FATAL_MISSING_FIELDS, FATAL_PARSE_ERROR, PipelineConfig, SUCCESS,
+    DLQ_ROUTED, DUPLICATE, FATAL_MISSING_FIELDS, FATAL_PARSE_ERROR, GROUP_FAIL, GROUP_SUCCESS,
+    NO_CONTROL_DOC, PipelineConfig, SUCCESS,
 )
 from sluice.streaming.groups import (
-    CONTROL, DECISION_TYPE, EVENT, EventTimeGroupProcessor, GROUP, GroupProcessor, KeyMarks,
-    TAGGED_TYPE,
+    CONTROL, DECISION_TYPE, EVENT, EventTimeGroupProcessor, GROUP, GroupProcessor, INCOMPLETE,
+    KeyMarks, TAGGED_TYPE, UNANNOUNCED,
 )
 
+COUNTERS = "_counters"
+Fetch = Callable[[DataFrame], DataFrame]  # decisions in, the same with their records' columns out
+
+
 _TAGGED = [f.split()[0] for f in TAGGED_TYPE.split(", ")]
 _DECISION = [f.split()[0] for f in DECISION_TYPE.split(", ")]
 _DECISION_KIND = dict(f.split() for f in DECISION_TYPE.split(", "))
@@ -42,9 +49,11 @@ def stream_dedup(events: DataFrame, key: str, cfg: PipelineConfig,
 
 
 def _intake_fields(records: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The narrow columns decisions need; the record itself is fetched later, by its claim."""
     e = F.col("env")
+    claim = F.col("claim") if "claim" in records.columns else F.lit(None).cast("string")
     return intake.parse_events(records).select(
-        "key", "value", "topic", "timestamp", ARRIVAL,
+        "timestamp", ARRIVAL, claim.alias("claim"),
         header_int(F.col("headers"), "attempt_count").alias("attempt_count"),
         e.isNotNull().alias("readable"),
         intake.dedup_key(cfg).alias("dedup_key"),
@@ -53,29 +62,35 @@ def _intake_fields(records: DataFrame, cfg: PipelineConfig) -> DataFrame:
     )
 
 
+def _own_time() -> Column:
+    """A record's time as a number. Unlike the time column it carries no watermark, so
+    state operators see every record, however late."""
+    return F.unix_millis("timestamp").alias("time_ms")
+
+
 def _as_tagged() -> list:
     """An event's columns under the schema it shares with control documents."""
-    return ["trade_group_id", F.lit(EVENT).alias("kind"), "trade_id", "key", "value", "topic",
-            "attempt_count", ARRIVAL, F.lit(None).cast("int").alias("expected_count"),
-            F.lit(None).cast("array<string>").alias("trade_ids"), "timestamp"]
-
+    return ["trade_group_id", F.lit(EVENT).alias("kind"), "trade_id", "attempt_count", ARRIVAL,
+            "claim", _own_time(), F.lit(None).cast("int").alias("expected_count"),
+            F.lit(None).cast("array<string>").alias("trade_ids")]
 
-def marked_events(fields: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Events with their key's mark looked up: firsts stay events, the others become copies.
 
-    Follows the clock, so that an event of any age gets its decision.
-    """
+def marked_events(fields: DataFrame, cfg: PipelineConfig, event_time: bool = False) -> DataFrame:
+    """Events with their key's mark looked up: firsts stay events, the others become copies."""
     return fields.select("dedup_key", *_as_tagged()).groupBy("dedup_key").transformWithState(
-        KeyMarks(cfg), TAGGED_TYPE, "Append", "ProcessingTime")
+        KeyMarks(cfg, event_time), TAGGED_TYPE, "Append", _mode(event_time))
+
+
+def _mode(event_time: bool) -> str:
+    return "EventTime" if event_time else "ProcessingTime"
 
 
 def tagged(left: DataFrame, control: DataFrame) -> DataFrame:
     """Events and control documents as one stream under one schema."""
-    text = F.lit(None).cast("string")
     right = control.select(
-        "trade_group_id", F.lit(CONTROL).alias("kind"), text.alias("trade_id"),
-        text.alias("key"), text.alias("value"), text.alias("topic"),
-        F.lit(0).alias("attempt_count"), ARRIVAL, "expected_count", "trade_ids", "timestamp")
+        "trade_group_id", F.lit(CONTROL).alias("kind"), F.lit(None).cast("string").alias("trade_id"),
+        F.lit(0).alias("attempt_count"), ARRIVAL, F.lit(None).cast("string").alias("claim"),
+        _own_time(), "expected_count", "trade_ids")
     return left.unionByName(right).select(*_TAGGED)
 
 
@@ -85,26 +100,24 @@ def decide_stream(events: DataFrame, control: DataFrame, cfg: PipelineConfig,
 
     Unreadable events and events without their required fields go straight to the dead
     letters; the rest is told from its duplicates and meets its control document in keyed
-    state. By the clock every record gets a decision, DUPLICATE included, however late
-    it comes. ``event_time`` lets timers follow the watermark instead, so that a run over
-    stored, timely records can be repeated: there Spark drops what is older than the
-    watermark, and duplicates leave no decision.
+    state. Every event gets one decision, DUPLICATE included, however late it comes.
+    Timers follow the clock. With ``event_time`` they follow the records' own times, so that
+    a run over stored records can be repeated: waits end when the watermark has passed them,
+    and what comes later than its own wait is decided at once, nothing is dropped.
     """
+    if event_time:
+        # The watermark only moves the timers; its delay is part of every wait.
+        events, control = (
+            df.withWatermark("timestamp", f"{cfg.dedup_ttl_minutes} minutes") for df in (events, control))
     fields = _intake_fields(events, cfg)
     whole = intake.complete()
-    good = fields.where(whole)
-    good = stream_dedup(good, "dedup_key", cfg).select(*_as_tagged()) if event_time else \
-        marked_events(good, cfg)
-    if event_time:
-        # Timers are to fire as soon as later events are seen, so the second state has
-        # the same watermark as the first; its delay is part of the deadline.
-        control = control.withWatermark("timestamp", f"{cfg.dedup_ttl_minutes} minutes")
+    good = marked_events(fields.where(whole), cfg, event_time)
     processor = EventTimeGroupProcessor(cfg) if event_time else GroupProcessor(cfg)
     settled = tagged(good, control).groupBy("trade_group_id").transformWithState(
-        processor, DECISION_TYPE, "Append", "EventTime" if event_time else "ProcessingTime")
+        processor, DECISION_TYPE, "Append", _mode(event_time))
     bad = fields.where(~whole).select(
-        F.lit(EVENT).alias("kind"), "trade_group_id", "trade_id", "key", "value", "topic",
-        "attempt_count", ARRIVAL, F.lit(DLQ_ROUTED).alias("outcome"),
+        F.lit(EVENT).alias("kind"), "trade_group_id", "trade_id", "attempt_count", ARRIVAL, "claim",
+        F.lit(DLQ_ROUTED).alias("outcome"),
         F.when(F.col("readable"), FATAL_MISSING_FIELDS).otherwise(FATAL_PARSE_ERROR)
         .alias("failure_reason"))
     for name in _DECISION:
@@ -119,57 +132,103 @@ def control_stream(records: DataFrame) -> DataFrame:
 
 
 def write_batch(decisions: DataFrame, root: str, registry: Registry, ingestion_time,
-                cfg: PipelineConfig, run: str | None = None) -> None:
+                cfg: PipelineConfig, run: str | None = None, fetch: Fetch = read_claimed) -> None:
     """Sink of one micro-batch: validated events to the lake, the rest to dead letters.
 
-    Under the name ``run`` each sink is written once, however often the batch is played.
+    The decisions are narrow; ``fetch`` reads the records of those that need one. Under the
+    name ``run`` each sink is written once, however often the batch is played. Decisions
+    and validated events are staged, so a lost executor costs no second pass over state.
     """
+    spark = decisions.sparkSession
+    work = f"{run or 'stream'}-{uuid.uuid4().hex}"
+
     def do(sink: str, write) -> None:
         if run is None:
             write()
         else:
-            once_per_run(decisions.sparkSession, root, run, sink, write)
+            once_per_run(spark, root, run, sink, write)
 
-    decisions.persist()
+    counters = Observation()
+    decisions = stage(decisions.observe(counters, *stream_metrics()), "decisions", run=work)
+    seen = counters.get
     try:
-        events = decisions.where((F.col("kind") == EVENT) & (F.col("outcome") == SUCCESS))
-        taken = intake.taken_in(intake.parse_events(events))
-        validated = verdict.validate(taken, registry, ingestion_time, cfg).persist()
-        try:
-            size = float(cfg.default_record_bytes)
-            do("passed", lambda: write_lake(verdict.passed(validated), root, DATA, cfg, size))
-            do("quarantined", lambda: write_lake(
-                verdict.quarantined(validated), root, QUARANTINE, cfg, size))
-            letters = verdict.rejected_records(validated, cfg).unionByName(
-                dead_letters(decisions)).unionByName(failed_groups(decisions))
-            do("dead_letters", lambda: write_dead_letters(letters, root))
-        finally:
-            validated.unpersist()
+        if seen["success"]:
+            taken = fetch(decisions.where((F.col("kind") == EVENT) & (F.col("outcome") == SUCCESS)))
+            validated = stage(verdict.validate(
+                intake.taken_in(intake.parse_events(taken)), registry, ingestion_time, cfg),
+                "validated", by=["validation_status"], run=work)
+            counts = {r["validation_status"]: r["count"]
+                      for r in validated.groupBy("validation_status").count().collect()}
+            write_verdicts(validated, counts, root, cfg, do)
+        if seen["dlq_routed"]:
+            do("dead_letters", lambda: write_dead_letters(dead_letters(decisions, fetch), root))
+        if seen["failed_groups"]:
+            do("failed_groups", lambda: write_dead_letters(failed_groups(decisions), root))
+        if any(seen.values()):
+            do("counters", lambda: append_counters(spark, root, seen))
     finally:
-        decisions.unpersist()
+        drop_run(spark, work)
 
 
-def dead_letters(decisions: DataFrame) -> DataFrame:
+def dead_letters(decisions: DataFrame, fetch: Fetch = read_claimed) -> DataFrame:
     """Dead-letter records of the events among the decisions."""
     lost = decisions.where((F.col("kind") == EVENT) & (F.col("outcome") == DLQ_ROUTED))
-    return lost.select(
+    return fetch(lost).select(
         "key", "value",
         make_headers(failure_reason=F.col("failure_reason"), original_topic=F.col("topic"),
                      attempt_count=F.col("attempt_count")).alias("headers"))
 
 
 def failed_groups(decisions: DataFrame) -> DataFrame:
-    return ledger.failed_group_records(decisions.where(F.col("kind") == GROUP))
+    return ledger.failed_group_records(
+        decisions.where((F.col("kind") == GROUP) & (F.col("status") == GROUP_FAIL)))
+
+
+def stream_metrics() -> list[Column]:
+    """What a micro-batch decided; every figure adds up over micro-batches."""
+    kind, outcome, attempt = F.col("kind"), F.col("outcome"), F.col("attempt_count")
+    event = kind != GROUP
+    taken = kind.isin(INCOMPLETE, UNANNOUNCED) | (outcome == SUCCESS)
+    dead = (kind == EVENT) & (outcome == DLQ_ROUTED)
+    no_doc = F.coalesce(F.col("failure_reason") == NO_CONTROL_DOC, F.lit(False))
+    return [F.count_if(c).alias(name) for name, c in {
+        "total": event,
+        "success": (kind == EVENT) & (outcome == SUCCESS),
+        "dlq_routed": dead,
+        "processed_normally": event & taken & (attempt == 0),
+        "retry_recovered": event & taken & (attempt > 0),
+        "duplicates": event & (outcome == DUPLICATE),
+        "quarantined_control_doc": dead & no_doc,
+        "quarantined_other": dead & ~no_doc,
+        "whole_groups": (kind == GROUP) & (F.col("status") == GROUP_SUCCESS),
+        "failed_groups": (kind == GROUP) & (F.col("status") == GROUP_FAIL),
+    }.items()]
+
+
+def append_counters(spark, root: str, seen: dict) -> None:
+    """One row of counters, gathered while the decisions were written."""
+    names = list(seen)
+    spark.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"{n} long" for n in names)) \
+        .coalesce(1).write.mode("append").parquet(lake_path(root, COUNTERS))
+
+
+def stream_counters(spark, root: str) -> DataFrame:
+    """Counters of all micro-batches the stream has written, in one row."""
+    rows = spark.read.parquet(lake_path(root, COUNTERS))
+    return rows.agg(*[F.sum(c).alias(c) for c in rows.columns])
 
 
 def run_stream(events: DataFrame, control: DataFrame, root: str, checkpoint: str,
                registry: Registry, cfg: PipelineConfig, available_now: bool = False,
-               event_time: bool = False, ingestion_time: str | None = None) -> StreamingQuery:
+               event_time: bool = False, ingestion_time: str | None = None,
+               fetch: Fetch = read_claimed) -> StreamingQuery:
     """Start the job. Offsets and state are checkpointed; a batch that is played again
     after a failure skips the sinks it had written.
 
     Without ``available_now`` a micro-batch starts every ``cfg.idle_flush``. Timers that
-    follow the clock never run out, so ``available_now`` needs ``event_time``.
+    follow the clock never run out, so ``available_now`` needs ``event_time``. ``fetch``
+    reads records again by their claims, so the source must keep them for as long as a group
+    may wait.
     """
     if available_now and not event_time:
         raise ValueError("available_now needs event_time: clock timers keep the query going")
@@ -179,7 +238,7 @@ def run_stream(events: DataFrame, control: DataFrame, root: str, checkpoint: str
     series = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def sink(batch: DataFrame, number: int) -> None:
-        write_batch(batch, root, registry, time, cfg, f"{series}-{number}")
+        write_batch(batch, root, registry, time, cfg, f"{series}-{number}", fetch)
         # Only the last batch can be played again.
         forget_run(batch.sparkSession, root, f"{series}-{number - 1}")
 
