@@ -1,9 +1,11 @@
 """Secrets in texts: fixed patterns, and Markov models of random strings and identifiers.
 
 Values that the patterns find are the labelled sample of random strings, one model per
-pattern; all other identifiers of the corpus are that of ordinary ones. Characters follow
-one another with probabilities counted over all documents. A further identifier is reported
-if the best random model makes it likelier than the ordinary one by ``MIN_LLR`` nats.
+alphabet they are drawn from; other identifiers of the corpus are that of ordinary ones, save
+those that change between letters and digits so often that they may be secrets themselves.
+Characters follow one another with probabilities counted over all documents. A further
+identifier is reported if the best random model makes it likelier than the ordinary one by
+``MIN_LLR`` nats.
 """
 
 from __future__ import annotations
@@ -31,12 +33,15 @@ _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 MIN_ASSIGNED, MIN_ACCESS = 6, 20
 
 _IDENTIFIER = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+_CHANGE = re.compile(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")
+MAX_CHANGES = 2  # between letters and digits, in an identifier taken for an ordinary one
 MIN_LENGTH = 16  # of an identifier the models may report
 MIN_LLR = 15.0  # nats by which the random model must be likelier, in all ...
 MIN_LLR_PER_CHAR = 0.5  # ... and on average per character
 SMOOTHING = 20.0  # counts each state starts with, spread over the alphabet
 
 ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
+SAMPLES = (re.compile("[0-9a-f]+"), re.compile("[A-Z0-9]+"), re.compile(".+"))  # alphabets of secrets
 _SIZE = len(ALPHABET) + 1
 _START = len(ALPHABET)
 _SYMBOL = np.full(256, _START, np.int64)
@@ -85,15 +90,16 @@ def transitions(strings: list[str]) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((len(KINDS), _SIZE, _SIZE), np.int64)
+    total = np.zeros((len(SAMPLES) + 1, _SIZE, _SIZE), np.int64)
     for b in batches:
-        seen: list[list[str]] = [[] for _ in KINDS]
+        seen: list[list[str]] = [[] for _ in range(len(SAMPLES) + 1)]
         for value in b.column("text"):
             text = value.as_py()
             base = base_matches(text)
-            for _, kind, _, secret in base:
-                seen[kind].append(secret)
-            seen[-1] += [m.group() for m in identifiers(text, base, 1)]
+            for *_, secret in base:
+                seen[next(k for k, a in enumerate(SAMPLES) if a.fullmatch(secret))].append(secret)
+            seen[-1] += [x for m in identifiers(text, base, 1)
+                         if len(_CHANGE.findall(x := m.group())) <= MAX_CHANGES]
         for kind, strings in enumerate(seen):
             total[kind] += transitions(strings)
     cells = np.nonzero(total.ravel())[0]
@@ -101,14 +107,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Models:
-    """Log-likelihood ratios of every transition: one table per kind that has a sample."""
+    """Log-likelihood ratios of every transition: one table per alphabet that has a sample."""
 
     def __init__(self, counts: np.ndarray):
-        shape = (len(KINDS), _SIZE, _SIZE)
+        shape = (len(SAMPLES) + 1, _SIZE, _SIZE)
         counts = counts.reshape(shape)[:, :, :_START].astype(float)
         even = SMOOTHING / _START
         logs = np.log((counts + even) / (counts.sum(axis=2, keepdims=True) + SMOOTHING))
-        present = [k for k in range(len(BASE)) if counts[k].sum()]
+        present = [k for k in range(len(SAMPLES)) if counts[k].sum()]
         self.ratios = [np.pad(logs[k] - logs[-1], ((0, 0), (0, 1))) for k in present]
 
     def llr(self, strings: list[str]) -> np.ndarray:
@@ -128,7 +134,7 @@ def learn(docs: DataFrame) -> Models:
     """Models from all documents; only the counts, bounded by the alphabet, are collected."""
     rows = doc_texts(docs).mapInArrow(_count, "cell long, n long").groupBy("cell").agg(
         F.sum("n").alias("n")).collect()
-    counts = np.zeros(len(KINDS) * _SIZE * _SIZE, np.int64)
+    counts = np.zeros((len(SAMPLES) + 1) * _SIZE * _SIZE, np.int64)
     for r in rows:
         counts[r["cell"]] = r["n"]
     return Models(counts)

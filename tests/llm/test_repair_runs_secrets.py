@@ -317,7 +317,7 @@ def test_ratio_is_the_sum_over_characters():
     import numpy as np
 
     samples = {0: ["aXbXaX"], 3: ["abcabc", "bca"]}
-    counts = np.zeros((len(secretscan.KINDS), secretscan._SIZE, secretscan._SIZE), np.int64)
+    counts = np.zeros((len(secretscan.SAMPLES) + 1, secretscan._SIZE, secretscan._SIZE), np.int64)
     for k, strings in samples.items():
         counts[k] = secretscan.transitions(strings)
 
