@@ -32,9 +32,9 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 PLAIN, PERIODIC, TILE = "plain", "periodic", "tile"
 _SURVEY = [("kind", pa.string()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("text", pa.string()),
            ("collapsed", pa.string()), ("period", pa.int64()), ("start", pa.int64()),
-           ("anchors", pa.list_(pa.int32())), ("ids", pa.list_(pa.int32()))]
+           ("anchors", pa.list_(pa.int32())), ("ids", pa.binary())]
 SURVEY_TYPE = ("kind string, doc_id long, digest binary, text string, collapsed string, period long, "
-               "start long, anchors array<int>, ids array<int>")
+               "start long, anchors array<int>, ids binary")
 RESULT_TYPE = ("doc_id long, n_runs long, start long, length long, period long, exponent_milli long, "
                "runs_sha256 string, collapsed_sha256 string")
 NO_RUNS = hashlib.sha256().hexdigest()
@@ -149,6 +149,17 @@ def tiles(numbers: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int
             yield d, p, lo - int(starts[d]), (at[i:j] - lo).tolist(), numbers[lo:hi]
 
 
+def packed(words: np.ndarray) -> bytes:
+    """Words numbered anew within a tile, in as few bytes each as these numbers need."""
+    names, own = np.unique(words, return_inverse=True)
+    width = next(w for w in (1, 2, 4) if len(names) <= 1 << 8 * w)
+    return bytes([width]) + own.astype(f"<u{width}").tobytes()
+
+
+def unpacked(data: bytes) -> list[int]:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).tolist()
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without a tile are done; of the others the text and its tiles."""
     schema = pa.schema(_SURVEY)
@@ -168,7 +179,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if d not in digests:
                     digests[d] = hashlib.sha256(texts[d].encode("utf-8", "surrogatepass")).digest()[:16]
                 rows.append({"kind": TILE, "doc_id": ids[d], "digest": digests[d], "period": p,
-                             "start": start, "anchors": anchors, "ids": words})
+                             "start": start, "anchors": anchors, "ids": packed(words)})
                 held += len(words)
                 if held > 500_000:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -231,7 +242,7 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: tuple = ([], [], [], [], [])
         for i in range(b.num_rows):
-            words = b.column("ids")[i].values.to_pylist()
+            words = unpacked(b.column("ids")[i].as_py())
             p, base = b.column("period")[i].as_py(), b.column("start")[i].as_py()
             ends: dict[int, list] = {}
             for c in b.column("anchors")[i].as_py():
