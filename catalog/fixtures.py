@@ -158,6 +158,10 @@ def faulty_banking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(_records(rows, BANKING, banking_payload(f), F.col("transaction_id"), schema_id))
 
 
+def orders_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(published(orders_rows(spark, sf_dir), ORDERS).events)
+
+
 def lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(published(lineitem_rows(spark, sf_dir), LINEITEM).events)
 

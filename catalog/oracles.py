@@ -368,6 +368,18 @@ _sql("query_count", STORED, f"""SELECT count(*) AS total_rows {_PASSED} AND year
 _sql("query_page", STORED, f"""SELECT * {_PASSED} AND year = 2024 AND month = 1
   ORDER BY ingestion_time, event_id LIMIT 150 OFFSET 300""")
 
+_sql("query_deep_page", STORED, f"""SELECT * {_PASSED} AND year = 2024
+  ORDER BY ingestion_time, event_id LIMIT 200 OFFSET 600""")
+_sql("query_result", STORED, f"""SELECT count(*) AS total_rows,
+  CAST(greatest(0, least(150, count(*) - 300)) AS INTEGER) AS returned_rows, 3 AS page, 150 AS page_size,
+  CAST(greatest(1, ceil(count(*) / 150.0)) AS BIGINT) AS total_pages, 'spark' AS engine,
+  '/data/year=2024/month=01' AS folder, 28 AS columns, true AS timed
+  {_PASSED} AND year = 2024 AND month = 1""")
+ORACLES["filter_errors"] = """WITH k AS (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders)
+  SELECT unnest(['month', 'day', 'hour', 'page', 'page_size']) AS field,
+         unnest([13 + low % 5, high % 20 + 1, 24 + high % 9, -(low % 3), 10001 + high]) AS value,
+         unnest([false, true, false, false, false]) AS valid FROM k"""
+
 # --- reports ----------------------------------------------------------------------------
 
 
@@ -503,6 +515,13 @@ s AS (SELECT *, (23 - CASE WHEN amount > 0 THEN 0 ELSE 3 END - CASE WHEN odd THE
     AS validation_status, CAST(round(score, 6) AS DOUBLE) AS quality_score, amount,
   CAST(balance AS DOUBLE) AS balance FROM s""")
 
+_sql("file_records", """f AS (SELECT file, count(*) AS n FROM (
+  SELECT (row_number() OVER () - 1) // 400 AS file FROM orders) GROUP BY file)""",
+     """SELECT count(*) AS files, CAST(sum(n) AS BIGINT) AS records,
+  round(avg(n), 1) AS records_mean, round(median(n), 1) AS records_median FROM f""")
+ORACLES["file_fill"] = "SELECT count(*) AS records, true AS filled FROM orders"
+ORACLES["iso_times"] = """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso FROM events"""
+
 # --- streams ----------------------------------------------------------------------------
 
 ORACLES["stream_group_status"] = ORACLES["group_status"]

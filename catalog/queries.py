@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 from catalog import fixtures as fx
 from sluice.functions.headers import HEADERS_TYPE
 from sluice.functions.joins import lookup
-from sluice.functions.text import composite_key, two_digits
+from sluice.functions.text import composite_key, iso_utc, two_digits
 from sluice.operators import (
     columns, drift, intake, ledger, publish, quality, record, report, retry, verdict,
 )
 from sluice.plans import ingest
-from sluice.plans.query import QueryFilter, count_rows, page, filtered
+from sluice.plans.query import (
+    ORDER, FilterError, QueryFilter, count_rows, filtered, page, run_query, seek,
+)
 from sluice.session import configure, stage, work_dir
+from sluice.sources.buffer import buffer_prefix, release
 from sluice.sources.lake import DATA, QUARANTINE, scan_lake, write_lake
 from sluice.sources.records import stream_records
 from sluice.sources.registry import load_registry
@@ -538,6 +541,45 @@ def query_page(spark, sf_dir):
     return _stored(page(lake, QueryFilter(year=2024, month=1, page=3, page_size=150)))
 
 
+@query
+def query_deep_page(spark, sf_dir):
+    """A page so far back that the rows before it are counted, not sorted."""
+    lake = scan_lake(spark, banking_lake(spark, sf_dir))
+    flt = QueryFilter(year=2024, page=4, page_size=200)
+    narrow = lake.where("year = 2024").select(*ORDER)
+    inside, left = seek(narrow, flt.offset, plain=50)
+    assert left <= 50 or inside.count() <= flt.offset
+    return _stored(page(lake, flt, plain=50))
+
+
+@query
+def query_result(spark, sf_dir):
+    """The answer to a query as it goes out: counts of rows and pages, engine and folder."""
+    root = banking_lake(spark, sf_dir)
+    got = run_query(spark, root, QueryFilter(year=2024, month=1, page=3, page_size=150))
+    rows = [(got.total_rows, got.returned_rows, got.page, got.page_size, got.total_pages, got.engine,
+             got.scanned_path.removeprefix(root), len(got.columns), got.execution_time_ms >= 0)]
+    return spark.createDataFrame(
+        rows, "total_rows long, returned_rows int, page int, page_size int, total_pages long, "
+              "engine string, folder string, columns int, timed boolean")
+
+
+@query
+def filter_errors(spark, sf_dir):
+    """Which fields of a filter are out of bounds; the values come from the orders' keys."""
+    keys = fx.table(spark, sf_dir, "orders").agg(
+        F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).first()
+    asked = {"month": 13 + keys["low"] % 5, "day": keys["high"] % 20 + 1, "hour": 24 + keys["high"] % 9,
+             "page": -(keys["low"] % 3), "page_size": 10_001 + keys["high"]}
+    try:
+        QueryFilter(**asked)
+        wrong = {}
+    except FilterError as e:
+        wrong = e.errors
+    return spark.createDataFrame([(name, int(value), name not in wrong) for name, value in asked.items()],
+                                 "field string, value long, valid boolean")
+
+
 # --- reports ----------------------------------------------------------------------------
 
 @query
@@ -572,6 +614,41 @@ def file_stats(spark, sf_dir):
     return report.file_stats(scan_lake(spark, banking_lake(spark, sf_dir)))
 
 
+@query
+def file_records(spark, sf_dir):
+    """Files and their records in a lake that was given one file per 400 events."""
+    root = f"{work_dir(spark)}/lake/{uuid.uuid4().hex}"
+    cfg = replace(fx.CFG, max_records_per_file=400)
+    rows = verdict.validate(fx.orders_events(spark, sf_dir), _registry(spark), fx.INGESTED_AT, cfg)
+    write_lake(rows.coalesce(1), root, DATA, cfg, 1.0, None)
+    return report.file_stats(scan_lake(spark, root)).select(
+        "files", "records", "records_mean", "records_median")
+
+
+@query
+def file_fill(spark, sf_dir):
+    """Twelve small batches of one hour, each held in the buffer, make few files."""
+    root = f"{work_dir(spark)}/lake/{uuid.uuid4().hex}"
+    rows = stage(verdict.validate(fx.orders_events(spark, sf_dir), _registry(spark), fx.INGESTED_AT, fx.CFG),
+                 "validated", by=["validation_status"])
+    now = int(time.time() * 1000)
+    for n in range(12):
+        part = stage(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(12)) == n), "batch", by=["validation_status"])
+        ingest.write_verdicts(part, root, fx.CFG, place=buffer_prefix)
+        release(spark, root, DATA, fx.CFG, now, 10**9)
+    release(spark, root, DATA, fx.CFG, now, 10**9, everything=True)
+    size = fx.CFG.target_file_mb * 1024 * 1024
+    per_file = report.files(scan_lake(spark, root))
+    return per_file.agg(F.sum("records").alias("records"),
+                        (F.count_if(F.col("bytes") < size) <= 2).alias("filled"))
+
+
+@query
+def iso_times(spark, sf_dir):
+    """Times of the events as ISO-8601 text."""
+    return fx.table(spark, sf_dir, "events").select("event_id", iso_utc(F.col("ts")).alias("iso"))
+
+
 @query
 def partition_stats(spark, sf_dir):
     found = report.partition_stats(scan_lake(spark, banking_lake(spark, sf_dir)))

@@ -11,16 +11,40 @@ _SALT = "_salt"
 BROADCAST_ROWS = 100_000
 
 
+# A key with at least this share of the rows is hot: it alone is cut into parts.
+HOT_SHARE = 1 / 64
+_TRACKED = 10_000  # keys the sketch keeps; it finds every key above 1 / _TRACKED of the rows
+
+
+def hot_keys(df: DataFrame, key: str) -> list:
+    """Keys that hold at least ``HOT_SHARE`` of the rows, found by a mergeable sketch.
+
+    At most ``1 / HOT_SHARE`` keys come back, whatever the size of ``df``. Counts are
+    estimates; a key near the bound may be taken for hot, which only costs copies.
+    """
+    most = round(1 / HOT_SHARE)
+    row = df.agg(F.count(key).alias("n"),
+                 F.expr(f"approx_top_k(`{key}`, {most}, {_TRACKED})").alias("top")).first()
+    return [t["item"] for t in row["top"] or [] if t["count"] >= HOT_SHARE * row["n"] and row["n"] >= _TRACKED]
+
+
 def spread_join(big: DataFrame, small: DataFrame, key: str, spread_by: Column,
-                how: str, salts: int) -> DataFrame:
-    """Join ``big`` to ``small`` (one row per key) with each key cut into ``salts`` parts.
+                how: str, salts: int, hot: list | None = None) -> DataFrame:
+    """Join ``big`` to ``small`` (one row per key) so that no key's rows meet in one task.
 
-    ``spread_by`` must tell apart the rows of one key. ``small`` is repeated once per
-    salt, so keep it narrow; adaptive execution may split the parts further.
+    ``hot`` lists the keys that are cut into ``salts`` parts, as ``hot_keys`` finds them;
+    without such a key it is a plain join. If None, every key is cut, and ``small`` is
+    repeated once per salt. ``spread_by`` must tell apart the rows of one key.
     """
-    left = big.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    right = small.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if hot is not None and not hot:
+        return big.join(small, key, how)
+    part = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    parts = F.sequence(F.lit(0), F.lit(salts - 1))
+    if hot is not None:
+        is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+        part, parts = F.when(is_hot, part).otherwise(0), F.when(is_hot, parts).otherwise(F.array(F.lit(0)))
+    left = big.withColumn(_SALT, part)
+    right = small.withColumn(_SALT, F.explode(parts))
     return left.join(right, [key, _SALT], how).drop(_SALT)
 
 

@@ -22,6 +22,7 @@ from sluice.spec import (
 _CORRUPT = "_corrupt_record"
 _KEY = "dedup_key"
 
+KEY_FIELDS = [ARRIVAL, "readable", _KEY, "trade_group_id", "trade_id", "attempt_count"]
 DECISION_FIELDS = [ARRIVAL, "trade_group_id", "trade_id", "attempt_count", "outcome",
                    "failure_reason"]
 
@@ -116,17 +117,21 @@ def dedup_key(cfg: PipelineConfig) -> Column:
     return F.when(key.isNotNull(), F.concat_ws("|", schema_id, key))
 
 
-def event_keys(parsed: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """The narrow columns every decision needs."""
+def key_columns(cfg: PipelineConfig) -> list[Column]:
+    """The narrow columns every decision needs, of a parsed record."""
     e = F.col("env")
-    return parsed.select(
-        ARRIVAL,
+    return [
+        F.col(ARRIVAL),
         e.isNotNull().alias("readable"),
         dedup_key(cfg).alias(_KEY),
         e["trade_group_id"].alias("trade_group_id"),
         e["trade_id"].alias("trade_id"),
         header_int(F.col("headers"), "attempt_count").alias("attempt_count"),
-    )
+    ]
+
+
+def event_keys(parsed: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    return parsed.select(*key_columns(cfg))
 
 
 def complete() -> Column:
@@ -154,23 +159,25 @@ def deduplicate(df: DataFrame, key: str, arrival: str = ARRIVAL) -> DataFrame:
     return df.join(firsts, arrival, "left_semi")
 
 
-def registered(keys: DataFrame, control: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def registered(keys: DataFrame, control: DataFrame, cfg: PipelineConfig,
+               hot: list | None = None) -> DataFrame:
     """Events with a flag that tells whether their group has a control document."""
     groups = control.select("trade_group_id").distinct().withColumn("_known", F.lit(True))
     return spread_join(
-        keys, groups, "trade_group_id", F.col(ARRIVAL), "left", cfg.salts
+        keys, groups, "trade_group_id", F.col(ARRIVAL), "left", cfg.salts, hot
     ).withColumn("registered", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
 def decide(keys: DataFrame, control: DataFrame, cfg: PipelineConfig,
-           seen: DataFrame | None = None) -> DataFrame:
+           seen: DataFrame | None = None, hot: list | None = None) -> DataFrame:
     """Outcome and failure reason of every event (``event_keys`` in, decisions out).
 
     An event with all its fields and a registered group marks its key; of equal keys
     the first arrival is taken in and all others are duplicates. An event that cannot
-    mark its key is a duplicate only when its key was marked before it arrived.
+    mark its key is a duplicate only when its key was marked before it arrived. ``hot`` are
+    the groups to be cut in joins (see ``spread_join``).
     """
-    known = registered(keys, control, cfg)
+    known = registered(keys, control, cfg, hot)
     able = complete() & F.col("registered")
     firsts = first_arrivals(known.where(able), seen)
 

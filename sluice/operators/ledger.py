@@ -121,11 +121,12 @@ def incomplete_events(events: DataFrame, slot: DataFrame, status: DataFrame,
     return events.join(held, ARRIVAL, "left_semi")
 
 
-def close_groups(decisions: DataFrame, status: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def close_groups(decisions: DataFrame, status: DataFrame, cfg: PipelineConfig,
+                 hot: list | None = None) -> DataFrame:
     """Decisions after groups closed: an event later than its group's completion finds
     no control document any more."""
     closed = status.where(F.col("closed_at").isNotNull()).select(GROUP, "closed_at")
-    joined = spread_join(decisions, closed, GROUP, F.col(ARRIVAL), "left", cfg.salts)
+    joined = spread_join(decisions, closed, GROUP, F.col(ARRIVAL), "left", cfg.salts, hot)
     late = F.coalesce(
         (F.col("outcome") == SUCCESS) & (F.col(ARRIVAL) > F.col("closed_at")), F.lit(False))
     dead = late & (F.col("attempt_count") >= cfg.max_attempts)

@@ -8,6 +8,7 @@ import time
 from dataclasses import dataclass, fields
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,9 @@ BOUNDS = {
     "page_size": (1, 10_000),
 }
 
-# Up to this many rows are skipped by a plain offset; beyond, the page is sought first.
+_FILE, _PLACE = "_page_file", "_page_row"
+
+# The order's columns of up to this many rows are skipped by sorting; what lies before is sought.
 PLAIN_OFFSET = 100_000
 
 
@@ -136,13 +139,43 @@ def count_rows(lake: DataFrame, flt: QueryFilter) -> DataFrame:
     return filtered(lake, flt).agg(F.count("*").alias("total_rows"))
 
 
-def page(lake: DataFrame, flt: QueryFilter, order: list[str] | None = None) -> DataFrame:
-    """One page in a stable order."""
-    rows = filtered(lake, flt)
-    offset = flt.offset
-    if offset > PLAIN_OFFSET and order is None:
-        rows, offset = seek(rows, offset)
-    return rows.orderBy(*(order or ORDER)).offset(offset).limit(flt.limit)
+def page(lake: DataFrame, flt: QueryFilter, order: list[str] | None = None,
+         plain: int | None = None) -> DataFrame:
+    """One page in a stable order.
+
+    The page is found on its order's columns alone, together with each row's file and place
+    in it; whole rows are then read from the page's files only, so none is ever sorted. A
+    deep page is sought first (see ``seek``). Rows of a frame that is no scan of files have
+    no place to be read from again and are sorted as they are.
+    """
+    order = order or ORDER
+    rows, offset = filtered(lake, flt), flt.offset
+    scanned = _is_scan(lake)
+    if scanned:
+        rows = rows.select(
+            *dict.fromkeys([*ORDER, *order]), F.col("_metadata.file_path").alias(_FILE),
+            F.col("_metadata.row_index").alias(_PLACE))
+    if order == ORDER:
+        rows, offset = seek(rows, offset, plain)
+    if not scanned:
+        return rows.orderBy(*order).offset(offset).limit(flt.limit)
+    keys = rows.orderBy(*order).offset(offset).limit(flt.limit).collect()  # at most page_size rows
+    if not keys:
+        return lake.limit(0)
+    spark = lake.sparkSession
+    wanted = spark.createDataFrame([(k[_FILE], k[_PLACE]) for k in keys], f"{_FILE} string, {_PLACE} long")
+    files = sorted({k[_FILE] for k in keys})
+    found = lake.withColumns({_FILE: F.col("_metadata.file_path"), _PLACE: F.col("_metadata.row_index")}).where(
+        F.col("_metadata.file_path").isin(files))
+    return found.join(F.broadcast(wanted), [_FILE, _PLACE], "left_semi").drop(_FILE, _PLACE).orderBy(*order)
+
+
+def _is_scan(lake: DataFrame) -> bool:
+    try:
+        lake.select("_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
 
 
 def _levels() -> list[Column]:
@@ -156,16 +189,18 @@ def _levels() -> list[Column]:
     ]
 
 
-def seek(rows: DataFrame, offset: int) -> tuple[DataFrame, int]:
+def seek(rows: DataFrame, offset: int, plain: int | None = None) -> tuple[DataFrame, int]:
     """Narrow ``rows`` to the part a deep page starts in, and what is left to skip.
 
     Counts rows per hour, second, time and key prefix in turn and drops the parts that
     lie wholly before the page, so that no task sorts all the skipped rows. All cuts are
     prefixes of the order's own texts, so they agree with it whatever the times look like.
+    Stops when no more than ``plain`` rows are left to skip.
     """
+    plain = PLAIN_OFFSET if plain is None else plain
     inside = F.lit(True)  # the part every cut so far has led to
     for level in _levels():
-        if offset <= PLAIN_OFFSET:
+        if offset <= plain:
             break
         sizes = rows.where(inside).groupBy(level.alias("part")).agg(F.count("*").alias("n"))
         skipped, start = 0, None

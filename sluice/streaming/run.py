@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections.abc import Callable
 
@@ -13,9 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.functions.headers import header_int, make_headers
 from sluice.functions.text import iso_utc
 from sluice.operators import intake, ledger, verdict
-from sluice.plans.ingest import write_verdicts
+from sluice.plans.ingest import dead_letter_sink, write_verdicts
 from sluice.session import ROCKSDB_PROVIDER, drop_run, stage
-from sluice.sources.lake import forget_run, lake_path, once_per_run, write_dead_letters
+from sluice.sources.buffer import buffer_prefix, release
+from sluice.sources.lake import DATA, QUARANTINE, Sink, forget_run, lake_path, once_per_run
 from sluice.sources.records import read_claimed
 from sluice.sources.registry import Registry
 from sluice.sources.tables import ARRIVAL
@@ -29,6 +31,7 @@ from sluice.streaming.groups import (
 )
 
 COUNTERS = "_counters"
+FILL_IDLE_MS = 60_000  # an hour's buffer that got nothing for so long is released
 Fetch = Callable[[DataFrame], DataFrame]  # decisions in, the same with their records' columns out
 
 
@@ -132,9 +135,12 @@ def control_stream(records: DataFrame) -> DataFrame:
 
 
 def write_batch(decisions: DataFrame, root: str, registry: Registry, ingestion_time,
-                cfg: PipelineConfig, run: str | None = None, fetch: Fetch = read_claimed) -> None:
+                cfg: PipelineConfig, run: str | None = None, fetch: Fetch = read_claimed,
+                fill_files: bool = False) -> None:
     """Sink of one micro-batch: validated events to the lake, the rest to dead letters.
 
+    With ``fill_files`` events go to the buffer, from which ``flush`` fills files.
+
     The decisions are narrow; ``fetch`` reads the records of those that need one. Under the
     name ``run`` each sink is written once, however often the batch is played. Decisions
     and validated events are staged, so a lost executor costs no second pass over state.
@@ -157,19 +163,23 @@ def write_batch(decisions: DataFrame, root: str, registry: Registry, ingestion_t
             validated = stage(verdict.validate(
                 intake.taken_in(intake.parse_events(taken)), registry, ingestion_time, cfg),
                 "validated", by=["validation_status"], run=work)
-            counts = {r["validation_status"]: r["count"]
-                      for r in validated.groupBy("validation_status").count().collect()}
-            write_verdicts(validated, counts, root, cfg, do)
+            write_verdicts(validated, root, cfg, do, buffer_prefix if fill_files else str)
         if seen["dlq_routed"]:
-            do("dead_letters", lambda: write_dead_letters(dead_letters(decisions, fetch), root))
+            do("dead_letters", dead_letter_sink(lambda: dead_letters(decisions, fetch), root))
         if seen["failed_groups"]:
-            do("failed_groups", lambda: write_dead_letters(failed_groups(decisions), root))
+            do("failed_groups", dead_letter_sink(lambda: failed_groups(decisions), root))
         if any(seen.values()):
-            do("counters", lambda: append_counters(spark, root, seen))
+            do("counters", Sink(COUNTERS, lambda to: append_counters(spark, to or lake_path(root, COUNTERS), seen)))
     finally:
         drop_run(spark, work)
 
 
+def flush(spark, root: str, cfg: PipelineConfig, everything: bool = False) -> None:
+    """Release what is due in the buffers of lake and quarantine."""
+    for prefix in (DATA, QUARANTINE):
+        release(spark, root, prefix, cfg, int(time.time() * 1000), FILL_IDLE_MS, everything)
+
+
 def dead_letters(decisions: DataFrame, fetch: Fetch = read_claimed) -> DataFrame:
     """Dead-letter records of the events among the decisions."""
     lost = decisions.where((F.col("kind") == EVENT) & (F.col("outcome") == DLQ_ROUTED))
@@ -205,11 +215,11 @@ def stream_metrics() -> list[Column]:
     }.items()]
 
 
-def append_counters(spark, root: str, seen: dict) -> None:
+def append_counters(spark, path: str, seen: dict) -> None:
     """One row of counters, gathered while the decisions were written."""
     names = list(seen)
     spark.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"{n} long" for n in names)) \
-        .coalesce(1).write.mode("append").parquet(lake_path(root, COUNTERS))
+        .coalesce(1).write.mode("append").parquet(path)
 
 
 def stream_counters(spark, root: str) -> DataFrame:
@@ -221,24 +231,27 @@ def stream_counters(spark, root: str) -> DataFrame:
 def run_stream(events: DataFrame, control: DataFrame, root: str, checkpoint: str,
                registry: Registry, cfg: PipelineConfig, available_now: bool = False,
                event_time: bool = False, ingestion_time: str | None = None,
-               fetch: Fetch = read_claimed) -> StreamingQuery:
+               fetch: Fetch = read_claimed, fill_files: bool = False) -> StreamingQuery:
     """Start the job. Offsets and state are checkpointed; a batch that is played again
     after a failure skips the sinks it had written.
 
     Without ``available_now`` a micro-batch starts every ``cfg.idle_flush``. Timers that
     follow the clock never run out, so ``available_now`` needs ``event_time``. ``fetch``
     reads records again by their claims, so the source must keep them for as long as a group
-    may wait.
+    may wait. With ``fill_files`` events wait in a buffer until they fill files or nothing
+    came for a minute; call ``flush`` with ``everything`` once the query has ended.
     """
     if available_now and not event_time:
         raise ValueError("available_now needs event_time: clock timers keep the query going")
     decisions = decide_stream(events, control_stream(control), cfg, event_time)
-    time = F.lit(ingestion_time) if ingestion_time else iso_utc(F.current_timestamp())
+    at = F.lit(ingestion_time) if ingestion_time else iso_utc(F.current_timestamp())
 
     series = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def sink(batch: DataFrame, number: int) -> None:
-        write_batch(batch, root, registry, time, cfg, f"{series}-{number}", fetch)
+        write_batch(batch, root, registry, at, cfg, f"{series}-{number}", fetch, fill_files)
+        if fill_files:
+            flush(batch.sparkSession, root, cfg)
         # Only the last batch can be played again.
         forget_run(batch.sparkSession, root, f"{series}-{number - 1}")
 
