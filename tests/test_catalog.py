@@ -28,6 +28,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", [
     "column_aliases", "row_groups_lineitem", "sha_fallback_keys", "dedup_lineitem",
     "intake_outcomes", "group_status_lineitem", "drift_summary", "quality_score_banking",
-    "query_page", "error_class"])
+    "query_page", "error_class", "query_deep_page", "query_result", "filter_errors", "file_records",
+    "file_fill", "iso_times", "stream_outcomes", "stream_late", "stream_counters"])
 def test_query_agrees_with_its_sql(spark, name):
     assert compare(spark, connect(SF_DIR), SF_DIR, name) is None
