@@ -321,12 +321,14 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
         "doc_id", "digest", "period", "start", "anchors", "ids").repartition(
         "doc_id", "digest", "period", "start").mapInArrow(
         _solve, "doc_id long, digest binary, period long, s long, e long")
-    runs = stitched(stage(fragments, "fragments")).groupBy("doc_id", "digest").agg(
-        F.collect_list(F.struct("start", "period", "length")).alias("runs"))
-    texts = found.where(F.col("kind") == PERIODIC).groupBy("doc_id", "digest").agg(
-        F.first("text").alias("text"), F.count("*").alias("copies"))
-    same = (texts["doc_id"].eqNullSafe(runs["doc_id"])) & (texts["digest"] == runs["digest"])
-    whole = texts.join(runs, same, "left").select(texts["doc_id"], "text", "copies", "runs")
+    runs = stitched(stage(fragments, "fragments")).select(
+        "doc_id", "digest", F.struct("start", "period", "length").alias("run"), F.lit(None).cast("string").alias("text"))
+    texts = found.where(F.col("kind") == PERIODIC).select(
+        "doc_id", "digest", F.lit(None).cast(runs.schema["run"].dataType).alias("run"), "text")
+    # Texts meet their runs in one shuffle.
+    whole = texts.unionByName(runs).groupBy("doc_id", "digest").agg(
+        F.first("text", ignorenulls=True).alias("text"), F.count("text").alias("copies"),
+        F.collect_list("run").alias("runs"))
     solved = whole.mapInArrow(_collapse, f"{RESULT_TYPE}, copies long")
     each = solved.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "_copy")
     return plain.unionByName(each)
