@@ -27,6 +27,16 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """Rows as one struct ``_row`` beside ``_id`` and ``_th``, the hash of the text (null: empty).
+
+    No column of ``docs`` can clash with those of a join; ``select("_row.*")`` gives them back.
+    """
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"))
+
+
 def slices(sizes: list[int], limit: int = SLICE_CHARS) -> Iterator[slice]:
     """Cut a batch into runs of rows of at most about ``limit`` characters, one row at least."""
     start = total = 0

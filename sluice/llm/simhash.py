@@ -23,10 +23,10 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import doc_texts
+from sluice.llm.common import doc_texts, packed_rows
 from sluice.llm.components import components
 from sluice.session import stage
 
@@ -40,6 +40,9 @@ PIECE = 200_000  # shingles hashed at a time
 COPY_WORDS = 5  # words of a shingle of near_copies
 SIMILARITY = 0.8  # Jaccard similarity of near copies
 BANDS, BAND_ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of (1 - 0.8**4)**24 = 3e-6
+SMALL_GROUP = 32  # members of an open bucket that all meet one another
+HEADS = 3  # members of a larger one that all others meet
+MIN_SHARED = 3  # bands a pair must share to be verified then; at 0.8 it shares fewer with a chance of 5e-4
 FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -364,14 +367,58 @@ def _hashed_texts(docs: DataFrame) -> DataFrame:
     return doc_texts(docs).withColumn("_th", F.xxhash64("text"))
 
 
+def _sized(a: str, b: str, similarity: float) -> Column:
+    """Sets further apart in size cannot be similar."""
+    return F.least(a, b) >= F.greatest(a, b) * (similarity - 1e-9)
+
+
+def _open_rows(rows: DataFrame) -> DataFrame:
+    """Rows ``key, mark, …`` of the groups that hold several components, with their group's size."""
+    groups = stage(rows.groupBy("key").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where(
+        "lo < hi").select("key", "size"), "groups")
+    return stage(rows.join(groups, "key"), "open")
+
+
+def _group_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs to look at within open groups: ``u, n_u, root_u, bands_u`` and the same of ``v``.
+
+    Members of a group of at most ``SMALL_GROUP`` meet all others. Those of a larger one
+    meet ``HEADS`` of its members, drawn by hash; finer groups take care of the rest.
+    """
+    side = ["mark", "n", "root", "bands"]
+    left = [F.col(c).alias("u" if c == "mark" else f"{c}_u") for c in side]
+    right = [F.col(c).alias("v" if c == "mark" else f"{c}_v") for c in side]
+    small = rows.where(F.col("size") <= SMALL_GROUP)
+    pairs = small.select("key", *left).join(small.select("key", *right), "key").where("u < v").drop("key")
+    large = rows.where(F.col("size") > SMALL_GROUP)
+    for k in range(HEADS):
+        heads = large.groupBy("key").agg(
+            F.min_by(F.struct(*side), F.xxhash64("mark", F.lit(k))).alias("head")).select("key", "head.*")
+        met = large.select("key", *right).join(heads.select("key", *left), "key").drop("key")
+        pairs = pairs.unionByName(met)
+    return pairs
+
+
+def _finer(rows: DataFrame) -> DataFrame:
+    """Members of large groups under longer keys: the group's band and one behind it."""
+    large = rows.where(F.col("size") > SMALL_GROUP)
+    return large.select("mark", "n", "root", "bands", "key", "at", F.posexplode("bands").alias("next", "band")).where(
+        "next > at").select(F.xxhash64("key", "next", "band").alias("key"), "mark", "n", "root", "bands")
+
+
 def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, _th, component_id`` for every row of ``docs``; ``_th`` is its text's hash.
 
     Texts link if the Jaccard similarity of their sets of shingles of ``words`` words is
-    at least ``similarity``; ``component_id`` is as in ``near_duplicates``. Pairs that share
-    a band of smallest hashes are verified on the whole sets. Within a band's bucket all are
-    compared with one first; only where this leaves several components the rest are
-    compared pairwise. Equal sets meet as one from the start, texts without words too.
+    at least ``similarity``; ``component_id`` is as in ``near_duplicates``. Candidates share
+    a band of smallest hashes. First each text is verified, on the whole sets, with one
+    other: of the heads of its buckets that with which it shares most bands. That leaves one
+    component of most groups of copies. Only buckets that still hold several components are
+    looked at again: small ones pairwise; members of large ones under keys of two bands, and
+    with some heads. Of those pairs, the ones that share ``MIN_SHARED`` bands are verified.
+    Work grows with the number of texts, however many share a bucket. Equal sets meet as one
+    from the start, texts without words too.
     """
     texts = _hashed_texts(docs)
     marks = stage(texts.mapInArrow(
@@ -379,50 +426,61 @@ def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SI
     distinct = stage(marks.groupBy("mark").agg(
         F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("bands").alias("bands"),
         F.min(F.struct("doc_id", "_th")).alias("row")), "distinct")
-    banded = distinct.select("mark", "n", F.explode("bands").alias("key"))
-    member = F.struct("mark", "n")
+    banded = distinct.select("mark", "n", F.posexplode("bands").alias("at", "key"))
     buckets = stage(banded.groupBy("key").agg(
-        F.min(member).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    rows = stage(banded.join(buckets, "key"), "members")
-
-    def sized(a: str, b: str):  # sets further apart in size cannot be similar
-        return F.least(a, b) >= F.greatest(a, b) * (similarity - 1e-9)
-
-    tried = stage(rows.where("mark <> head.mark").where(sized("n", "head.n")).select(
-        F.col("head.mark").alias("u"), F.col("mark").alias("v")).distinct(), "pairs")
-
-    def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        common = F.size(F.array_intersect("set_u", "set_v"))
-        both = F.size("set_u") + F.size("set_v") - common
-        return pairs.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v").where(
-            common / both >= similarity).select("u", "v")
+        F.min(F.struct("mark", "n")).alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1").select(
+        "key", F.col("head.mark").alias("u"), F.col("head.n").alias("n_u")), "buckets")
+    members = stage(banded.join(buckets, "key").groupBy("mark", "u").agg(
+        F.min("n").alias("n"), F.min("n_u").alias("n_u"), F.count(F.lit(1)).alias("shared")), "members")
 
     # only texts that share a bucket are looked at again
-    shared = stage(rows.select("mark").distinct().join(distinct, "mark").select(
+    shared = stage(members.select("mark").distinct().join(distinct, "mark").select(
         "mark", F.col("row.doc_id").alias("_id"), F.col("row._th").alias("_row_th")), "shared")
     sets = stage(texts.join(shared.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))
                             & (F.col("_th") == F.col("_row_th"))).dropDuplicates(["mark"]).select(
         "mark", "text").mapInArrow(_sets(words), "mark long, set array<long>"), "sets")
-    found = stage(links(tried, sets), "links")
-    roots = stage(components(found), "roots")
-    open_ = stage(rows.where("size > 2").join(roots, rows.mark == roots.node, "left").select(
-        "key", "mark", "n", F.coalesce("root", "mark").alias("root")), "open")
-    split = stage(open_.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(
-        "lo < hi").select("key"), "split")
-    left = open_.join(split, "key")
-    right = left.toDF("key", "other", "n_other", "root_other")
-    rest = left.join(right, "key").where("mark < other AND root <> root_other").where(
-        sized("n", "n_other")).select(F.col("mark").alias("u"), F.col("other").alias("v")).distinct()
-    rest = stage(rest.join(tried, ["u", "v"], "left_anti"), "pairs")
-    if not rest.isEmpty():
-        roots = stage(components(stage(found.union(links(rest, sets)), "links")), "roots")
-    rooted = stage(distinct.join(roots, distinct.mark == roots.node, "left").select(
-        "mark", "first", F.coalesce("root", "mark").alias("root")), "rooted")
-    names = stage(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
-    named = stage(rooted.join(names, "root").select("mark", "component_id"), "named")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        common = F.size(F.array_intersect("set_u", "set_v"))
+        both = F.size("set_u") + F.size("set_v") - common
+        return pairs.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v").where(
+            common / both >= similarity).drop("set_u", "set_v")
+
+    nearest = members.where("mark <> u").where(_sized("n", "n_u", similarity)).groupBy("mark").agg(
+        F.max_by("u", F.struct("shared", "u")).alias("u")).select("u", F.col("mark").alias("v"))
+    links = stage(similar(stage(nearest, "pairs")), "links")
+    rooted = _rooted(distinct.select("mark", "n", "bands"), "mark", components(links))
+
+    rows = rooted.select("mark", "n", "root", F.posexplode("bands").alias("at", "key"))
+    coarse = _open_rows(rows).join(rooted.select("mark", "bands"), "mark")
+    coarse = stage(coarse, "coarse")
+    fine = _open_rows(_finer(coarse))
+    alike = F.aggregate(F.zip_with("bands_u", "bands_v", lambda x, y: F.when(x == y, 1).otherwise(0)),
+                        F.lit(0), lambda x, y: x + y)
+    met = _group_pairs(coarse).unionByName(_group_pairs(fine)).where("root_u <> root_v").where(
+        _sized("n_u", "n_v", similarity)).where(alike >= MIN_SHARED).select(
+        "u", "v", "root_u", "root_v").distinct()
+    joined = stage(similar(stage(met, "pairs")).select(
+        F.col("root_u").alias("u"), F.col("root_v").alias("v")), "links")
+    whole = rooted.select("mark", F.col("root").alias("part"))
+    if not joined.isEmpty():
+        whole = _rooted(whole, "part", components(joined))
+    else:
+        whole = whole.withColumnRenamed("part", "root")
+    named = distinct.select("mark", "first").join(whole.select("mark", "root"), "mark")
+    named = stage(named, "rooted")
+    names = stage(named.groupBy("root").agg(F.min("first").alias("component_id")), "names")
+    named = stage(named.join(names, "root").select("mark", "component_id"), "named")
     return marks.join(named, "mark").select("doc_id", "_th", "component_id")
 
 
+def _rooted(rows: DataFrame, node: str, roots: DataFrame) -> DataFrame:
+    """``rows`` with the ``root`` of their node; a node without edges is its own."""
+    found = stage(roots, "roots")
+    return stage(rows.join(found, rows[node] == found["node"], "left").select(
+        *[rows[c] for c in rows.columns], F.coalesce("root", rows[node]).alias("root")), "rooted")
+
+
 def keep_first_copy(docs: DataFrame) -> DataFrame:
     """Keep the row of smallest ``doc_id`` of each component of near copies; all columns stay.
 
@@ -435,5 +493,5 @@ def _without(docs: DataFrame, named: DataFrame) -> DataFrame:
     """``docs`` without the rows (``doc_id``, ``_th``) that are not of their component's id."""
     copies = stage(named.where("doc_id <> component_id").select(
         F.col("doc_id").alias("_copy_id"), F.col("_th").alias("_copy_th")).distinct(), "copies")
-    return docs.join(copies.hint("merge"), (docs["doc_id"] == F.col("_copy_id"))
-                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_copy_th")), "left_anti")
+    return packed_rows(docs).join(copies.hint("merge"), (F.col("_id") == F.col("_copy_id"))
+                                  & (F.col("_th") == F.col("_copy_th")), "left_anti").select("_row.*")
