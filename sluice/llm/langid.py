@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import doc_texts, held_out, text_slices
+from sluice.llm.common import doc_texts, held_out, packed_rows, text_slices
 from sluice.session import stage
 
 BUCKETS = 1 << 15
@@ -30,6 +30,12 @@ LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 
 
+def has_letter(text: str) -> bool:
+    """Figures such as ² or ½, which the pattern takes as well, are no letters."""
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
+
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte trigrams of lower-cased texts, and how many each text has.
 
@@ -181,7 +187,7 @@ def _predict(docs: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         for batch in batches:
             for part, texts in text_slices(batch):
-                known = [bool(LETTER.search(t)) for t in texts]
+                known = [has_letter(t) for t in texts]
                 shares = infer(model, [t if k else "" for t, k in zip(texts, known)])
                 lang, score, mixed = [], [], []
                 for row in shares:
@@ -211,5 +217,5 @@ def keep_known(docs: DataFrame) -> DataFrame:
     found = _predict(docs, learn(docs)).where(F.col("lang_pred") == UNKNOWN).select(
         F.col("doc_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct()
     unknown = stage(found, "unknown").hint("merge")
-    return docs.join(unknown, docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")) & (
-        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_bad_th")), "left_anti")
+    return packed_rows(docs).join(unknown, F.col("_id").eqNullSafe(F.col("_bad_id")) & (
+        F.col("_th") == F.col("_bad_th")), "left_anti").select("_row.*")
