@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import doc_texts, text_slices
+from sluice.llm.common import doc_texts, packed_rows, text_slices
 from sluice.session import stage
 
 WINDOW = 8
@@ -280,4 +280,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents; rows with null id stay."""
     found = stage(contaminated(docs, benchmark).select(F.col("doc_id").alias("_leak_id")).distinct(), "leaks")
-    return docs.join(found.hint("merge"), docs["doc_id"] == F.col("_leak_id"), "left_anti")
+    return packed_rows(docs).join(
+        found.hint("merge"), F.col("_id") == F.col("_leak_id"), "left_anti").select("_row.*")
