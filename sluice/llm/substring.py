@@ -116,8 +116,8 @@ def _survey(window: int):
                 np.cumsum([0, *map(len, marks)]).astype(np.int32),
                 np.concatenate([*marks, np.zeros(0, dtype=np.int64)]))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(count, pa.int64()), pa.array(digest, pa.string()),
-                 lists], names=["doc_id", "n_words", "digest", "marks"])
+                [b.column("doc_id"), b.column("th"), pa.array(count, pa.int64()),
+                 pa.array(digest, pa.string()), lists], names=["doc_id", "th", "n_words", "digest", "marks"])
     return run
 
 
@@ -148,11 +148,11 @@ def _extend(window: int):
                 whole = window_hashes(w.hashes, window)[at].view(np.int64)
                 lists = pa.ListArray.from_arrays(np.r_[start, len(at)].astype(np.int32), whole)
                 marks = [pa.array(h[at][start]) for _, h in found]
-                ids = pa.array([b.column("doc_id")[i].as_py()] * len(start), pa.int64())
+                ids, ths = (pa.array([b.column(c)[i].as_py()] * len(start), pa.int64()) for c in ("doc_id", "th"))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(at[start]), lists, *marks],
-                    names=["doc_id", "at", "windows", *(f"mark{n}" for n in between)])
-    schema = "doc_id long, at long, windows array<long>" + "".join(
+                    [ids, ths, pa.array(at[start]), lists, *marks],
+                    names=["doc_id", "th", "at", "windows", *(f"mark{n}" for n in between)])
+    schema = "doc_id long, th long, at long, windows array<long>" + "".join(
         f", mark{n} long" for n in between)
     return run, schema, [f"mark{n}" for n in between]
 
@@ -180,21 +180,28 @@ def _cover(window: int):
                 digest.append(hashlib.sha256(kept).hexdigest())
                 kept_texts.append(kept.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(removed, pa.int64()), pa.array(digest, pa.string()),
-                 pa.array(kept_texts, pa.string())],
-                names=["doc_id", "n_removed", "kept_sha256", "kept"])
+                [b.column("doc_id"), b.column("th"), pa.array(removed, pa.int64()),
+                 pa.array(digest, pa.string()), pa.array(kept_texts, pa.string())],
+                names=["doc_id", "th", "n_removed", "kept_sha256", "kept"])
     return run
 
 
+_SURVEY_TYPE = "doc_id long, th long, n_words long, digest string, marks array<long>"
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and ``th``, a hash that tells texts of one id apart."""
+    return doc_texts(docs).withColumn("th", F.xxhash64("text"))
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """The survey of all documents, and the starts ``doc_id, at`` of windows to remove.
+    """The survey of all documents, and the starts ``doc_id, th, at`` of windows to remove.
 
     Documents whose words are those of an earlier document count as copies: all their
     windows start in it, so they need no search and never decide about others.
     """
-    texts = doc_texts(docs).where("doc_id IS NOT NULL")
-    survey = stage(texts.mapInArrow(
-        _survey(window), "doc_id long, n_words long, digest string, marks array<long>"), "survey")
+    texts = _texts(docs).where("doc_id IS NOT NULL")
+    survey = stage(texts.mapInArrow(_survey(window), _SURVEY_TYPE), "survey")
     firsts = stage(survey.groupBy("digest").agg(F.min("doc_id").alias("first_copy")), "firsts")
     survey = stage(survey.join(firsts, "digest"), "survey")
     singles = survey.where("doc_id = first_copy").select("doc_id", F.explode("marks").alias("mark"))
@@ -205,10 +212,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame,
     rows = stage(rows, "windows")
     for mark in between:
         rows = stage(rows.join(stage(_shared(rows, [mark]).select(mark), mark), mark), "extended")
-    each = rows.select("doc_id", *between, F.posexplode("windows").alias("step", "hash"), "at").select(
-        "doc_id", *between, "hash", (F.col("at") + F.col("step")).alias("at"))
+    each = rows.select("doc_id", "th", *between, F.posexplode("windows").alias("step", "hash"), "at").select(
+        "doc_id", "th", *between, "hash", (F.col("at") + F.col("step")).alias("at"))
     shared = stage(_shared(each, [*between, "hash"]), "repeats")
-    starts = each.join(shared, [*between, "hash"]).where("doc_id > first").select("doc_id", "at")
+    starts = each.join(shared, [*between, "hash"]).where("doc_id > first").select("doc_id", "th", "at")
     return survey, starts
 
 
@@ -218,24 +225,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A word goes if it is covered by a window of ``window`` words that also starts in a
     document of smaller id; windows are judged on the input. ``kept`` is the text left,
     words joined by one blank; it is null where nothing was removed. Null texts have no
-    words. Ids are taken to be unique: rows of one id are treated alike by place. A row
-    with null id keeps all its words.
+    words. Every row gets its row: those of one id are told apart by their texts, and never
+    lose words to one another. A row with null id keeps all its words.
     """
     survey, starts = repeated_windows(docs, window)
-    places = stage(starts.groupBy("doc_id").agg(F.collect_set("at").alias("places")), "places")
-    texts = doc_texts(docs)
-    cut = stage(texts.join(places, "doc_id").mapInArrow(
-        _cover(window), "doc_id long, n_removed long, kept_sha256 string, kept string"), "cut")
+    places = stage(starts.groupBy("doc_id", "th").agg(F.collect_set("at").alias("places")), "places")
+    texts = _texts(docs)
+    cut = stage(texts.join(places, ["doc_id", "th"]).mapInArrow(
+        _cover(window), "doc_id long, th long, n_removed long, kept_sha256 string, kept string"), "cut")
     nothing = F.sha2(F.lit("").cast("binary"), 256)
     copy = (F.col("doc_id") > F.col("first_copy")) & (F.col("n_words") >= window)
-    cut = cut.withColumnRenamed("doc_id", "cut_id")
-    known = survey.join(cut, survey.doc_id == cut.cut_id, "left").select(
+    known = survey.drop("marks").join(cut.dropDuplicates(["doc_id", "th"]), ["doc_id", "th"], "left").select(
         "doc_id", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copy, nothing).otherwise(F.coalesce("kept_sha256", "digest")).alias("kept_sha256"),
         F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("kept"))
-    unnamed = texts.where("doc_id IS NULL").mapInArrow(
-        _survey(window), "doc_id long, n_words long, digest string, marks array<long>").select(
+    unnamed = texts.where("doc_id IS NULL").mapInArrow(_survey(window), _SURVEY_TYPE).select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"),
         F.col("digest").alias("kept_sha256"), F.lit(None).cast("string").alias("kept"))
     return known.union(unnamed)
