@@ -177,10 +177,10 @@ class PieceMemo(dict):
         super().__init__()
         self.bpe = bpe
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: set[str], limit: int = MEMO_PIECES) -> None:
         """Encode the pieces not known yet, in byte order, so that neighbours share prefixes."""
         fresh = pieces.difference(self)
-        if len(self) + len(fresh) > MEMO_PIECES:
+        if len(self) + len(fresh) > limit:
             used = {p: self[p] for p in pieces if p in self}
             self.clear()
             self.update(used)
@@ -228,26 +228,26 @@ FIELD_SQL = {"n_tokens": "long", "ids": "array<long>", "ids_sha256": "string",
 
 def _fields(packed: bytes, words: dict[int, bytes], wanted: list[str]) -> Iterator:
     """What is known of one encoded text, in the order wanted."""
-    ids = np.frombuffer(packed, dtype="<u4").tolist()
+    ids = np.frombuffer(packed, dtype="<u4")
     for name in wanted:
         if name == "n_tokens":
             yield len(ids)
         elif name == "ids":
-            yield ids
+            yield ids.astype(np.int64)
         elif name == "ids_sha256":
             yield hashlib.sha256(packed).hexdigest()
         else:
-            yield hashlib.sha256(b"".join(map(words.__getitem__, ids))).hexdigest()
+            yield hashlib.sha256(b"".join(map(words.__getitem__, ids.tolist()))).hexdigest()
 
 
-def _encoder(content: Broadcast, pattern: str, wanted: list[str]) -> Callable:
+def _encoder(content: Broadcast, pattern: str, wanted: list[str], pieces_kept: int, chars: int) -> Callable:
     """A batch function that adds the wanted fields to every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, cut = _memo(content), regex.compile(pattern)
         for batch in batches:
-            for part, texts in text_slices(batch, limit=SLICE):
+            for part, texts in text_slices(batch, limit=chars):
                 split = [cut.findall(text or "") for text in texts]
-                memo.learn(set().union(*split))
+                memo.learn(set().union(*split), pieces_kept)
                 rows = [_fields(b"".join(map(memo.__getitem__, pieces)), memo.bpe.words, wanted)
                         for pieces in split]
                 made = [pa.array(c, FIELDS[f]) for c, f in zip(zip(*rows), wanted)]
@@ -257,7 +257,8 @@ def _encoder(content: Broadcast, pattern: str, wanted: list[str]) -> Callable:
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str,
-           fields: tuple[str, ...] = ("n_tokens", "ids")) -> DataFrame:
+           fields: tuple[str, ...] = ("n_tokens", "ids"), pieces_kept: int = MEMO_PIECES,
+           chars: int = SLICE) -> DataFrame:
     """All rows and columns of ``docs``, and the ``fields`` of every whole text encoded.
 
     ``vocabulary`` is the path of a rank file, read once here and sent to the tasks (its
@@ -265,14 +266,15 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str,
     encoded by itself. Fields: ``n_tokens``, ``ids``, ``ids_sha256`` (of the ids as
     little-endian 32-bit numbers) and ``decoded_sha256`` (of the bytes the ids decode
     to). A null text counts as empty and has no ids. Columns of ``docs`` that bear a
-    field's name give way to it.
+    field's name give way to it. A worker remembers ``pieces_kept`` pieces and works on
+    ``chars`` characters at a time; both only trade memory for time.
     """
     with open(vocabulary, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.drop(*fields)
     schema = StructType(rows.schema.fields + StructType.fromDDL(
         ", ".join(f"{f} {FIELD_SQL[f]}" for f in fields)).fields)
-    return rows.mapInArrow(_encoder(content, pattern, list(fields)), schema)
+    return rows.mapInArrow(_encoder(content, pattern, list(fields), pieces_kept, chars), schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
