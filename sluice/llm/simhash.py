@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import doc_texts, packed_rows
+from sluice.llm.common import doc_texts, packed_rows, text_slices
 from sluice.llm.components import components
 from sluice.session import stage
 
@@ -343,22 +343,28 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 def _banded(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t.as_py(), words) for t in b.column("text")]
-            marks = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("_th"), pa.array(marks.view(np.int64)),
-                 pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))],
-                names=["doc_id", "_th", "mark", "n", "bands"])
+            for part, texts in text_slices(b):
+                sizes, marks, bands = [], [], []
+                for t in texts:  # one set at a time
+                    own = shingle_set(t, words)
+                    sizes.append(len(own))
+                    marks.append(xxhash.xxh64_intdigest(own.tobytes()))
+                    bands.append(band_keys(own))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("_th"),
+                     pa.array(np.array(marks, dtype=np.uint64).view(np.int64)),
+                     pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["doc_id", "_th", "mark", "n", "bands"])
     return run
 
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t.as_py(), words).view(np.int64) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("mark"), pa.array(sets, pa.list_(pa.int64()))], names=["mark", "set"])
+            for part, texts in text_slices(b):
+                sets = [shingle_set(t, words).view(np.int64) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("mark"), pa.array(sets, pa.list_(pa.int64()))], names=["mark", "set"])
     return run
 
 
