@@ -118,8 +118,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """
     sample = stage(label_sample(labels, "toxic", SAMPLE), "labelled")
     own = doc_texts(docs)
-    # bounded: SAMPLE ids and labels
-    facts = own.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text").mapInArrow(
+    # bounded: SAMPLE ids and labels; of several texts of one id that of least hash counts
+    texts = own.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    facts = texts.mapInArrow(
         _facts, "doc_id long, label int, words array<string>, swaps array<string>")
     facts = stage(facts, "facts")
     total = facts.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
