@@ -186,8 +186,9 @@ def learn(described: DataFrame, labels: DataFrame) -> Model:
     """Fit on at most ``SAMPLE`` labelled documents that are not held out; their features,
     sixteen numbers each, are what reaches the driver."""
     sample = stage(label_sample(labels, "quality", SAMPLE), "labelled")
-    # bounded: SAMPLE ids and labels
-    rows = described.join(F.broadcast(sample), "doc_id").orderBy("doc_id").toArrow()
+    # bounded: SAMPLE ids and labels; of several rows of one id the least features count
+    rows = described.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(
+        F.min(F.struct(*FEATURES)).alias("own")).select("doc_id", "label", "own.*").orderBy("doc_id").toArrow()
     table = np.column_stack([rows.column(f).to_numpy() for f in FEATURES]).astype(float)
     return fit(table, rows.column("label").to_numpy().astype(float))
 
