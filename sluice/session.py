@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +83,24 @@ def work_dir(spark: SparkSession) -> str:
     return made
 
 
+_RUN: ContextVar[str] = ContextVar("run", default="shared")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside, unless for a run of their own, are removed at the end.
+
+    What is to outlive it must be written before, for instance by ``stage`` for another run.
+    """
+    name = f"scratch-{uuid.uuid4().hex}"
+    token = _RUN.set(name)
+    try:
+        yield name
+    finally:
+        _RUN.reset(token)
+        drop_run(spark, name)
+
+
 def stage(df: DataFrame, name: str, by: list[str] | None = None,
           run: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
@@ -87,10 +108,11 @@ def stage(df: DataFrame, name: str, by: list[str] | None = None,
     Cuts lineage so that several consumers share one computation, and survives the
     loss of executors, since the rows live in files. ``by`` splits the table into
     folders, so that a consumer of one value reads only its share. Tables of one
-    ``run`` lie together, so that ``drop_run`` can remove them.
+    ``run`` lie together, so that ``drop_run`` can remove them; without one they belong to
+    the ``scratch`` they are made in, or to all.
     """
     spark = df.sparkSession
-    path = f"{run_dir(spark, run or 'shared')}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark, run or _RUN.get())}/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if by:
         writer = writer.partitionBy(*by)
