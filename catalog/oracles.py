@@ -522,6 +522,10 @@ _sql("file_records", """f AS (SELECT file, count(*) AS n FROM (
 ORACLES["file_fill"] = "SELECT count(*) AS records, true AS filled FROM orders"
 ORACLES["iso_times"] = """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso FROM events"""
 
+_sql("topic_records", O, f"""SELECT '{ORDERS.topics.primary}' AS topic, count(*) AS records,
+  count(DISTINCT r) AS keys, CAST(sum(r % 4) AS BIGINT) AS attempts FROM o
+  UNION ALL SELECT '{ORDERS.topics.control}', count(DISTINCT g), count(DISTINCT g), CAST(0 AS BIGINT) FROM o""")
+
 # --- streams ----------------------------------------------------------------------------
 
 ORACLES["stream_group_status"] = ORACLES["group_status"]

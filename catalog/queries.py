@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
-from sluice.functions.headers import HEADERS_TYPE
+from sluice.functions.headers import HEADERS_TYPE, from_kafka_headers, header_int
 from sluice.functions.joins import lookup
 from sluice.functions.text import composite_key, iso_utc, two_digits
 from sluice.operators import (
@@ -22,6 +22,7 @@ from sluice.plans.query import (
     ORDER, FilterError, QueryFilter, count_rows, filtered, page, run_query, seek,
 )
 from sluice.session import configure, stage, work_dir
+from sluice.sources import topics
 from sluice.sources.buffer import buffer_prefix, release
 from sluice.sources.lake import DATA, QUARANTINE, scan_lake, write_lake
 from sluice.sources.records import stream_records
@@ -817,6 +818,20 @@ def replayed_batch(spark, sf_dir):
     return scan_lake(spark, root).groupBy("event_id").agg(F.count("*").alias("copies"))
 
 
+@query
+def topic_records(spark, sf_dir):
+    """A batch sent to topics twice under its name: each record is there once, with its headers."""
+    root = f"{work_dir(spark)}/topics/{uuid.uuid4().hex}"
+    sent = fx.published(fx.orders_rows(spark, sf_dir), ORDERS)
+    sent = replace(sent, events=fx.retried(sent.events))
+    for _ in range(2):
+        topics.send(sent, ORDERS.topics, topics.file_writer(f"{root}/rows"), f"{root}/lake", "batch")
+    rows = spark.read.parquet(f"{root}/rows").withColumn("h", from_kafka_headers(F.col("headers")))
+    return rows.groupBy("topic").agg(
+        F.count("*").alias("records"), F.countDistinct("key").alias("keys"),
+        F.coalesce(F.sum(header_int(F.col("h"), "attempt_count")), F.lit(0)).cast("bigint").alias("attempts"))
+
+
 # --- CSV to lake ----------------------------------------------------------------------------
 
 @query
