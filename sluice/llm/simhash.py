@@ -41,7 +41,7 @@ COPY_WORDS = 5  # words of a shingle of near_copies
 SIMILARITY = 0.8  # Jaccard similarity of near copies
 BANDS, BAND_ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of (1 - 0.8**4)**24 = 3e-6
 SMALL_GROUP = 32  # members of an open bucket that all meet one another
-HEADS = 3  # members of a larger one that all others meet
+HEADS = 3  # members of a larger one's main component that those outside it meet
 MIN_SHARED = 3  # bands a pair must share to be verified then; at 0.8 it shares fewer with a chance of 5e-4
 FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -379,36 +379,44 @@ def _sized(a: str, b: str, similarity: float) -> Column:
 
 
 def _open_rows(rows: DataFrame) -> DataFrame:
-    """Rows ``key, mark, …`` of the groups that hold several components, with their group's size."""
-    groups = stage(rows.groupBy("key").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).where(
-        "lo < hi").select("key", "size"), "groups")
+    """Rows ``key, mark, …`` of the groups that hold several components, with their group's
+    ``size``, its most frequent component ``lead`` and how many members are of ``others``."""
+    each = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("here"))
+    groups = stage(each.groupBy("key").agg(
+        F.sum("here").alias("size"), F.max_by("root", F.struct("here", "root")).alias("lead"),
+        (F.sum("here") - F.max("here")).alias("others")).where("others > 0"), "groups")
     return stage(rows.join(groups, "key"), "open")
 
 
 def _group_pairs(rows: DataFrame) -> DataFrame:
     """Pairs to look at within open groups: ``u, n_u, root_u, bands_u`` and the same of ``v``.
 
-    Members of a group of at most ``SMALL_GROUP`` meet all others. Those of a larger one
-    meet ``HEADS`` of its members, drawn by hash; finer groups take care of the rest.
+    Members of a group of at most ``SMALL_GROUP`` meet all others. In a larger one those that
+    are not of its most frequent component meet ``HEADS`` of that, drawn by hash, and one
+    another if they are few, else as many of themselves; finer groups take care of the rest.
     """
     side = ["mark", "n", "root", "bands"]
     left = [F.col(c).alias("u" if c == "mark" else f"{c}_u") for c in side]
     right = [F.col(c).alias("v" if c == "mark" else f"{c}_v") for c in side]
-    small = rows.where(F.col("size") <= SMALL_GROUP)
-    pairs = small.select("key", *left).join(small.select("key", *right), "key").where("u < v").drop("key")
-    large = rows.where(F.col("size") > SMALL_GROUP)
-    for k in range(HEADS):
-        heads = large.groupBy("key").agg(
-            F.min_by(F.struct(*side), F.xxhash64("mark", F.lit(k))).alias("head")).select("key", "head.*")
-        met = large.select("key", *right).join(heads.select("key", *left), "key").drop("key")
-        pairs = pairs.unionByName(met)
+    apart = F.col("root") != F.col("lead")
+    large = F.col("size") > SMALL_GROUP
+    whole = rows.where(~large | (apart & (F.col("others") <= SMALL_GROUP)))
+    pairs = whole.select("key", *left).join(whole.select("key", *right), "key").where("u < v").drop("key")
+    asked = rows.where(large & apart)
+    for drawn in (rows.where(large & ~apart), asked.where(F.col("others") > SMALL_GROUP)):
+        for k in range(HEADS):
+            heads = drawn.groupBy("key").agg(
+                F.min_by(F.struct(*side), F.xxhash64("mark", F.lit(k))).alias("head")).select("key", "head.*")
+            pairs = pairs.unionByName(
+                asked.select("key", *right).join(heads.select("key", *left), "key").drop("key"))
     return pairs
 
 
 def _finer(rows: DataFrame) -> DataFrame:
-    """Members of large groups under longer keys: the group's band and one behind it."""
-    large = rows.where(F.col("size") > SMALL_GROUP)
+    """Members of large groups under longer keys, the group's band and one behind it; only
+    those that are not of the group's most frequent component, where they are many."""
+    large = rows.where((F.col("size") > SMALL_GROUP) & (F.col("others") > SMALL_GROUP)
+                       & (F.col("root") != F.col("lead")))
     return large.select("mark", "n", "root", "bands", "key", "at", F.posexplode("bands").alias("next", "band")).where(
         "next > at").select(F.xxhash64("key", "next", "band").alias("key"), "mark", "n", "root", "bands")
 
@@ -421,8 +429,8 @@ def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SI
     a band of smallest hashes. First each text is verified, on the whole sets, with one
     other: of the heads of its buckets that with which it shares most bands. That leaves one
     component of most groups of copies. Only buckets that still hold several components are
-    looked at again: small ones pairwise; members of large ones under keys of two bands, and
-    with some heads. Of those pairs, the ones that share ``MIN_SHARED`` bands are verified.
+    looked at again: small ones pairwise; in large ones the members outside the most frequent
+    component, with some of it, and with one another under keys of two bands. Of those pairs, the ones that share ``MIN_SHARED`` bands are verified.
     Work grows with the number of texts, however many share a bucket. Equal sets meet as one
     from the start, texts without words too.
     """
