@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 _SALT = "_salt"
 
-# Ceiling for a broadcast side, in rows; beyond it the lookup is shuffled and salted.
+# Ceilings for a broadcast side; beyond either the lookup is shuffled and salted.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 # A key with at least this share of the rows is hot: it alone is cut into parts.
@@ -49,12 +50,12 @@ def spread_join(big: DataFrame, small: DataFrame, key: str, spread_by: Column,
 
 
 def lookup(big: DataFrame, table: DataFrame, key: str, spread_by: Column,
-           rows_bound: int | None, salts: int = 16) -> DataFrame:
+           rows_bound: int | None, salts: int = 16, bytes_bound: int = 0) -> DataFrame:
     """Left join to a lookup table: broadcast while its row bound is small enough.
 
-    ``rows_bound`` is a proven upper bound of the rows of ``table``; without one, or
-    above the ceiling, the join is shuffled and salted instead.
+    ``rows_bound`` is a proven upper bound of the rows of ``table``, ``bytes_bound`` one of
+    their size; without the first, or above a ceiling, the join is shuffled and salted instead.
     """
-    if rows_bound is not None and rows_bound <= BROADCAST_ROWS:
+    if rows_bound is not None and rows_bound <= BROADCAST_ROWS and bytes_bound <= BROADCAST_BYTES:
         return big.join(F.broadcast(table), key, "left")
     return spread_join(big, table, key, spread_by, "left", salts)

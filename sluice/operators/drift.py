@@ -72,7 +72,9 @@ def check_drift(events: DataFrame, registry: Registry) -> DataFrame:
     two set differences over its typed keys, also added as ``payload_types``; violations
     are spelled out only for the others.
     """
-    joined = lookup(events, _expectations(registry), "schema_id", F.col(ARRIVAL), registry.rows)
+    # beside its fields a schema's row holds the typed keys it allows and needs
+    joined = lookup(events, _expectations(registry), "schema_id", F.col(ARRIVAL), registry.rows,
+                    bytes_bound=4 * registry.size)
     joined = once(joined, "_payload", as_map(F.col("payload")))
     joined = once(joined, "payload_types", typed_keys(F.col("_payload")))
     types = F.col("payload_types")

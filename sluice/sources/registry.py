@@ -18,10 +18,11 @@ BUNDLED = Path(__file__).resolve().parent.parent / "schemas"
 
 @dataclass(frozen=True)
 class Registry:
-    """Registered schemas, one row each, with the number of rows."""
+    """Registered schemas, one row each, with the number of rows and their size as text."""
 
     table: DataFrame
     rows: int
+    size: int = 0
 
     def fields(self) -> DataFrame:
         """One row per declared field, with its position."""
@@ -44,7 +45,7 @@ def load_registry(spark: SparkSession, path: str | None = None) -> Registry:
              for d in by_id.values()],
             REGISTRY_TYPE,
         )
-        return Registry(table, len(by_id))
+        return Registry(table, len(by_id), len(json.dumps(list(by_id.values()))))
     docs = (
         spark.read.schema(REGISTRY_TYPE).option("multiLine", True)
         .option("pathGlobFilter", "*.json").json(path)
@@ -55,4 +56,5 @@ def load_registry(spark: SparkSession, path: str | None = None) -> Registry:
         F.max_by("version", "_file").alias("version"),
         F.max_by("fields", "_file").alias("fields"),
     )
-    return Registry(table, table.count())
+    found = table.agg(F.count("*").alias("n"), F.sum(F.length(F.to_json(F.struct("*")))).alias("size")).first()
+    return Registry(table, found["n"], found["size"] or 0)

@@ -68,3 +68,18 @@ def test_a_named_batch_done_again_is_stored_once(spark, registry, tmp_path):
         ingest.ingest(recs, control, root, registry, "2024-01-05T07:08:09.000Z", 0, CFG, name="monday")
     assert scan_lake(spark, root).count() == 1
     assert spark.read.parquet(f"{root}/dlq").count() == 1 and spark.read.parquet(f"{root}/retry").count() == 1
+
+
+def test_a_registry_of_great_size_is_not_broadcast(spark, registry):
+    from dataclasses import replace
+
+    events = spark.range(3).select(
+        *[F.lit("x").alias(c) for c in EVENT_FIELDS if c not in ("schema_id", "payload")],
+        F.lit("tpch_orders_v1").alias("schema_id"), F.lit("{}").alias("payload"), F.col("id").alias("arrival"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = plan_of(verdict.validate(events, registry, "2024-01-05T07:08:09.000Z", CFG))
+        large = plan_of(verdict.validate(events, replace(registry, size=1 << 30), "2024-01-05T07:08:09.000Z", CFG))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert registry.size > 500 and "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
