@@ -417,8 +417,9 @@ def _finer(rows: DataFrame) -> DataFrame:
     those that are not of the group's most frequent component, where they are many."""
     large = rows.where((F.col("size") > SMALL_GROUP) & (F.col("others") > SMALL_GROUP)
                        & (F.col("root") != F.col("lead")))
-    return large.select("mark", "n", "root", "bands", "key", "at", F.posexplode("bands").alias("next", "band")).where(
-        "next > at").select(F.xxhash64("key", "next", "band").alias("key"), "mark", "n", "root", "bands")
+    behind = F.slice("bands", F.col("at") + 2, F.lit(BANDS))
+    return large.select("mark", "n", "root", "bands", "key", "at", F.posexplode(behind).alias("next", "band")).select(
+        F.xxhash64("key", F.col("at") + 1 + F.col("next"), "band").alias("key"), "mark", "n", "root", "bands")
 
 
 def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
