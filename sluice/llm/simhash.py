@@ -340,12 +340,13 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
 
 
-def _banded(words: int):
+def _banded(words: int, marked: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, texts in text_slices(b):
-                sizes, marks, bands = [], [], []
+                sizes, marks, bands, fps = [], [], [], []
                 for t in texts:  # one set at a time
+                    fps.append(fingerprint(t) if marked else 0)
                     own = shingle_set(t, words)
                     sizes.append(len(own))
                     marks.append(xxhash.xxh64_intdigest(own.tobytes()))
@@ -353,8 +354,9 @@ def _banded(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("_th"),
                      pa.array(np.array(marks, dtype=np.uint64).view(np.int64)),
-                     pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "_th", "mark", "n", "bands"])
+                     pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
+                     pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
+                    names=["doc_id", "_th", "mark", "n", "bands", "fp"])
     return run
 
 
@@ -422,7 +424,19 @@ def _finer(rows: DataFrame) -> DataFrame:
         F.xxhash64("key", F.col("at") + 1 + F.col("next"), "band").alias("key"), "mark", "n", "root", "bands")
 
 
-def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def _fingerprint_groups(marks: DataFrame) -> DataFrame:
+    """Links ``u``, ``v`` of every mark to the group of its texts' fingerprints, those within
+    4 bits; groups of one mark are left out."""
+    distinct = stage(marks.select("fp").distinct(), "fingerprints")
+    roots = stage(components(fingerprint_links(distinct)), "fingerprint_roots")
+    groups = stage(marks.select("mark", "fp").distinct().join(roots, F.col("fp") == roots["node"], "left").select(
+        "mark", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("group")).distinct(), "fingerprint_groups")
+    several = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+    return groups.join(several, "group").select(F.col("mark").alias("u"), F.col("group").alias("v"))
+
+
+def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SIMILARITY,
+                marked: bool = False) -> DataFrame:
     """``doc_id, _th, component_id`` for every row of ``docs``; ``_th`` is its text's hash.
 
     Texts link if the Jaccard similarity of their sets of shingles of ``words`` words is
@@ -434,10 +448,13 @@ def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SI
     component, with some of it, and with one another under keys of two bands. Of those pairs, the ones that share ``MIN_SHARED`` bands are verified.
     Work grows with the number of texts, however many share a bucket. Equal sets meet as one
     from the start, texts without words too.
+
+    With ``marked`` texts whose SimHash fingerprints are within 4 bits link as well, and first:
+    what they connect is of one component before buckets are looked at again.
     """
     texts = _hashed_texts(docs)
     marks = stage(texts.mapInArrow(
-        _banded(words), "doc_id long, _th long, mark long, n long, bands array<long>"), "marks")
+        _banded(words, marked), "doc_id long, _th long, mark long, n long, bands array<long>, fp long"), "marks")
     distinct = stage(marks.groupBy("mark").agg(
         F.min("doc_id").alias("first"), F.min("n").alias("n"), F.min("bands").alias("bands"),
         F.min(F.struct("doc_id", "_th")).alias("row")), "distinct")
@@ -464,6 +481,8 @@ def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SI
     nearest = members.where("mark <> u").where(_sized("n", "n_u", similarity)).groupBy("mark").agg(
         F.max_by("u", F.struct("shared", "u")).alias("u")).select("u", F.col("mark").alias("v"))
     links = stage(similar(stage(nearest, "pairs")), "links")
+    if marked:
+        links = links.union(stage(_fingerprint_groups(marks), "links"))
     rooted = _rooted(distinct.select("mark", "n", "bands"), "mark", components(links))
 
     rows = rooted.select("mark", "n", "root", F.posexplode("bands").alias("at", "key"))
@@ -504,6 +523,11 @@ def keep_first_copy(docs: DataFrame) -> DataFrame:
     return _without(docs, near_copies(docs))
 
 
+def keep_first_alike(docs: DataFrame) -> DataFrame:
+    """The same where texts within 4 bits of SimHash are near copies, too."""
+    return _without(docs, near_copies(docs, marked=True))
+
+
 def _without(docs: DataFrame, named: DataFrame) -> DataFrame:
     """``docs`` without the rows (``doc_id``, ``_th``) that are not of their component's id."""
     copies = stage(named.where("doc_id <> component_id").select(
