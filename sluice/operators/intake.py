@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.headers import header_int, make_headers
-from sluice.functions.joins import spread_join
+from sluice.functions.joins import hot_keys, spread_join
 from sluice.functions.once import once
 from sluice.sources.tables import ARRIVAL
 from sluice.spec import (
@@ -42,16 +42,20 @@ def _nested(text: Column) -> Column:
 def _scalars_only(record: Column, parsed: Column, fields: list[str]) -> Column:
     """True when none of the text fields holds an object or a list.
 
-    The JSON is read a second time only for rows in which a text begins like one.
+    The JSON is read a second time only for rows in which a text begins like one, and as a
+    whole: a reading per field makes a method too long for the JVM to compile.
     """
     suspicious = F.lit(False)
-    nested = F.lit(False)
     for name in fields:
         suspicious = suspicious | F.coalesce(_nested(parsed[name]), F.lit(False))
-        kind = F.schema_of_variant(
-            F.try_variant_get(F.try_parse_json(record), f"$.{name}", "variant"))
-        nested = nested | F.coalesce(
-            kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
+    members = F.map_entries(F.try_variant_get(
+        F.try_parse_json(record), "$", "map<string,variant>"))
+
+    def is_nested(member: Column) -> Column:
+        kind = F.schema_of_variant(member["value"])
+        return member["key"].isin(*fields) & (kind.startswith("OBJECT") | kind.startswith("ARRAY"))
+
+    nested = F.coalesce(F.exists(members, is_nested), F.lit(False))
     return F.when(suspicious, ~nested).otherwise(True)
 
 
@@ -174,34 +178,28 @@ def decide(keys: DataFrame, control: DataFrame, cfg: PipelineConfig,
 
     An event with all its fields and a registered group marks its key; of equal keys
     the first arrival is taken in and all others are duplicates. An event that cannot
-    mark its key is a duplicate only when its key was marked before it arrived. ``hot`` are
-    the groups to be cut in joins (see ``spread_join``).
+    mark its key is a duplicate only when its key was marked before it arrived. Each row meets
+    its key's mark in one join by key, in which hot keys are cut. ``hot`` are the groups to be
+    cut in joins (see ``spread_join``).
     """
     known = registered(keys, control, cfg, hot)
     able = complete() & F.col("registered")
-    firsts = first_arrivals(known.where(able), seen)
-
-    winners = firsts.select(ARRIVAL, F.lit(True).alias("_first"))
-    taken = known.where(able).join(winners, ARRIVAL, "left").select(
-        *[F.col(c) for c in known.columns],
-        F.coalesce("_first", F.lit(False)).alias("_first"), F.lit(False).alias("_late"))
-
-    # Events that cannot mark a key: look up when, if ever, their key was marked.
-    unable = known.where(~able)
-    keyed = unable.where(F.col(_KEY).isNotNull())
-    asked = keyed.select(_KEY).distinct()
-    marked = firsts.join(asked, _KEY, "left_semi").select(
-        _KEY, F.col(ARRIVAL).alias("_marked"))
+    marks = first_arrivals(known.where(able), seen).select(
+        _KEY, F.col(ARRIVAL).alias("_marked"), F.lit(True).alias("_here"))
     if seen is not None:
         old = seen.select(F.col(seen.columns[0]).alias(_KEY)).distinct()
-        marked = marked.unionByName(
-            old.join(asked, _KEY, "left_semi").select(_KEY, F.lit(-1).cast("bigint").alias("_marked")))
-    left = spread_join(unable, marked, _KEY, F.col(ARRIVAL), "left", cfg.salts).select(
-        *[F.col(c) for c in known.columns],
-        F.lit(False).alias("_first"),
-        F.coalesce(F.col("_marked") < F.col(ARRIVAL), F.lit(False)).alias("_late"))
-
-    both = taken.unionByName(left)
+        marks = marks.unionByName(old.select(
+            _KEY, F.lit(-1).cast("bigint").alias("_marked"), F.lit(False).alias("_here")))
+
+    # Rows without key need no mark; together they could be the largest key of all.
+    keyed = spread_join(known.where(F.col(_KEY).isNotNull()), marks, _KEY, F.col(ARRIVAL), "left",
+                        cfg.salts, hot_keys(keys, _KEY))
+    bare = known.where(F.col(_KEY).isNull()).withColumns({
+        "_marked": F.lit(None).cast("bigint"), "_here": F.lit(None).cast("boolean")})
+    mine = able & F.col("_here") & (F.col("_marked") == F.col(ARRIVAL))
+    both = keyed.unionByName(bare).withColumns({
+        "_first": F.coalesce(mine, F.lit(False)),
+        "_late": ~able & F.coalesce(F.col("_marked") < F.col(ARRIVAL), F.lit(False))})
     exhausted = F.col("attempt_count") >= cfg.max_attempts
     outcome = (
         F.when(~F.col("readable"), DLQ_ROUTED)

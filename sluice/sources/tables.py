@@ -19,6 +19,7 @@ ROW_COLUMNS = [ROW_FILE, ROW_INDEX, ARRIVAL]
 
 INDEX_BITS = 33  # rows below 2^33 per file
 TASK_BYTES = 1024 * 1024  # of a table's files per task that makes JSON of its rows
+TASK_ROWS = 500  # neighbours dealt out together: a group of the usual size stays in one task
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -71,10 +72,14 @@ def read_numbered(spark: SparkSession, path: str, min_tasks: int | None = None)
         rows = rows.join(F.broadcast(table) if len(names) <= BROADCAST_ROWS else table, "_uri")
     arrival = F.shiftleft(F.col("_number").cast("bigint"), INDEX_BITS) + F.col(ROW_INDEX)
     rows = rows.select(*scan.columns, ROW_FILE, ROW_INDEX, arrival.alias(ARRIVAL))
-    if min_tasks is not None:
-        wanted = max(min_tasks, -(-file_bytes(scan) // TASK_BYTES))
-        if rows.rdd.getNumPartitions() < wanted:
-            rows = rows.repartition(wanted, ROW_FILE, ROW_INDEX)
+    return rows if min_tasks is None else deal_out(rows, file_bytes(scan), min_tasks)
+
+
+def deal_out(rows: DataFrame, size: int, min_tasks: int) -> DataFrame:
+    """Numbered rows in a task per ``TASK_BYTES`` of the files they fill, ``min_tasks`` at least."""
+    wanted = max(min_tasks, -(-size // TASK_BYTES))
+    if rows.rdd.getNumPartitions() < wanted:
+        rows = rows.repartition(wanted, F.col(ROW_FILE), F.expr(f"{ROW_INDEX} div {TASK_ROWS}"))
     return rows
 
 
