@@ -3,14 +3,15 @@ import re
 
 from pyspark.sql import functions as F
 
-from sluice.operators import intake
+from sluice.operators import intake, verdict
 from sluice.plans import ingest
 from sluice.session import stage
 from sluice.sources import tables
-from sluice.spec import PipelineConfig
+from sluice.spec import LINEITEM, PipelineConfig
 from tests.conftest import control_json, event_json, records
 
 CFG = PipelineConfig()
+AT = "2024-01-05T07:08:09.000Z"
 
 
 def plan_of(df):
@@ -50,6 +51,28 @@ def test_decisions_move_rows_by_key_only(spark):
     assert "hashpartitioning(dedup_key" in plan and "hashpartitioning(arrival" not in plan
 
 
+def test_rows_are_chosen_before_they_are_made_events(spark, registry, tmp_path):
+    spark.range(2_000).select(
+        F.concat(F.col("id") - F.when(F.col("id") == 700, 1).otherwise(0), F.lit("-1")).alias("line_item_id"),
+        F.col("id").alias("l_orderkey"), F.lit(2.0).alias("l_quantity")).coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = tables.read_numbered(spark, str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ingest.validated_table(rows, LINEITEM, registry, AT, AT, CFG)
+        lines = plan_of(out).split("== Initial Plan ==")[-1].split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(arrival" in line]
+    assert moved and not any("payload" in line for line in moved)
+    # The second group holds an id twice, so it fails as a whole; the other three are whole.
+    assert out.count() == 1_500 and out.select("trade_group_id").distinct().count() == 3
+    sent = ingest.publish.publish(rows, LINEITEM, AT)
+    whole = ingest.whole_groups(sent.events, ingest.control_table(sent.control), CFG)
+    want = verdict.validate(whole, registry, AT, CFG).drop("violations", "rule_results").select(*out.drop(
+        "violations", "rule_results").columns)
+    assert out.drop("violations", "rule_results").exceptAll(want).isEmpty() and want.count() == 1_500
+
+
 def test_rows_of_a_group_are_dealt_out_together(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tables, "TASK_BYTES", 16 * 1024)
     spark.range(20_000).select(F.rand(3).alias("x")).coalesce(1).write.parquet(str(tmp_path / "t"))
