@@ -1,5 +1,7 @@
 """Work per row of parsing, deciding and choosing rows, told by plans."""
 import re
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import functions as F
 
@@ -29,10 +31,6 @@ def test_parsing_runs_in_methods_the_jvm_compiles(spark):
     assert 0 < longest_method(intake.event_keys(intake.parse_events(recs), CFG)) < 8000
 
 
-def test_long_stages_do_not_run_as_one_method(spark):
-    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
-
-
 def test_nested_texts_are_told_from_texts_with_brackets(spark):
     values = [event_json("G", "1", source=["x"]), event_json("G", "1", source="[x"),
               event_json("G", "1", source="{", trace_id={"a": 1}), event_json("G", "{1}", payload={"a": [1]})]
@@ -79,3 +77,18 @@ def test_rows_of_a_group_are_dealt_out_together(spark, tmp_path, monkeypatch):
     rows = tables.read_numbered(spark, str(tmp_path / "t"), min_tasks=2)
     placed = rows.select(F.spark_partition_id().alias("p"), F.expr("_row_index div 500").alias("g")).distinct()
     assert rows.rdd.getNumPartitions() > 2 and placed.count() == 40 and placed.select("p").distinct().count() > 2
+
+
+def test_tables_between_steps_are_packed_tightly(spark, registry, tmp_path):
+    from sluice.plans.runs import ingest_run
+    ids = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    size = sum(p.stat().st_size for p in _files(stage(ids, "ids")))
+    assert size < 0.75 * 64 * 20_000
+    ingest_run(records(spark, [event_json("A", "1")]), records(spark, [control_json("A", ["1", "2"])]), str(tmp_path),
+               registry, AT, 1_704_067_200_000, CFG, "r1")
+    left = list((tmp_path / "_runs" / "r1" / "open" / "events").glob("*.parquet"))
+    assert left and all(".zstd." in p.name for p in left)
+
+
+def _files(df):
+    return [Path(unquote(urlparse(f).path)) for f in df.inputFiles()]
