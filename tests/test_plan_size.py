@@ -92,3 +92,16 @@ def test_tables_between_steps_are_packed_tightly(spark, registry, tmp_path):
 
 def _files(df):
     return [Path(unquote(urlparse(f).path)) for f in df.inputFiles()]
+
+
+def test_sides_that_choose_payloads_are_staged(spark, registry, tmp_path):
+    """Their sizes are known then, so a small one is sent to the payloads and none of these moves."""
+    from sluice.plans.runs import ingest_run
+    from sluice.session import run_dir
+    result = ingest_run(records(spark, [event_json("A", "1"), event_json("X", "1")]),
+                        records(spark, [control_json("A", ["1", "2"])]), str(tmp_path),
+                        registry, AT, 1_704_067_200_000, CFG, "r1")
+    names = {p.name.split("-")[0] for p in Path(run_dir(spark, result.run)).iterdir()}
+    assert {"accepted", "open", "due"} <= names
+    assert result.validated.isEmpty()
+    assert spark.read.parquet(f"{tmp_path}/_runs/r1/open/retries").count() == 1
