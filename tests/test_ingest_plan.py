@@ -83,3 +83,29 @@ def test_a_registry_of_great_size_is_not_broadcast(spark, registry):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert registry.size > 500 and "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
+
+
+def test_what_grows_with_the_events_is_not_broadcast(spark, registry, monkeypatch):
+    """However short the files it is staged in: the optimizer would take these for small."""
+    from sluice.functions import joins
+    from sluice.operators import intake
+    from sluice.spec import ORDERS
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 100)
+    rows = stage(spark.range(1000).select(
+        F.col("id").alias("o_orderkey"), F.lit(1.0).alias("o_totalprice"), F.lit("f").alias("_row_file"),
+        F.col("id").alias("_row_index"), F.col("id").alias("arrival")), "rows")
+    made = ingest.validated_table(rows, ORDERS, registry, "2024-06-01T00:00:00Z", "2024-06-01T05:00:00Z", CFG)
+    plan = plan_of(made)
+    assert "SortMergeJoin [arrival" in plan and "BroadcastHashJoin [arrival" not in plan
+    assert made.count() == 1000
+    keys = stage(rows.select(
+        "arrival", F.lit(True).alias("readable"), F.col("o_orderkey").cast("string").alias("dedup_key"),
+        F.lit("A").alias("trade_group_id"), F.lit("1").alias("trade_id"), F.lit(0).alias("attempt_count")), "keys")
+    control = ingest.control_table(records(spark, [control_json("A", ["1"])]))
+    for hot in ([], ["7"]):
+        monkeypatch.setattr(intake, "hot_keys", lambda df, key, hot=hot: hot)
+        plan = plan_of(intake.decide(keys, control, CFG, hot=[]))
+        assert "SortMergeJoin [dedup_key" in plan and "BroadcastHashJoin [dedup_key" not in plan
+    plan = plan_of(intake.deduplicate(keys, "dedup_key"))
+    assert "SortMergeJoin [arrival" in plan
