@@ -40,9 +40,9 @@ PIECE = 200_000  # shingles hashed at a time
 COPY_WORDS = 5  # words of a shingle of near_copies
 SIMILARITY = 0.8  # Jaccard similarity of near copies
 BANDS, BAND_ROWS = 24, 4  # a pair at 0.8 shares no band with a chance of (1 - 0.8**4)**24 = 3e-6
-SMALL_GROUP = 32  # members of an open bucket that all meet one another
-HEADS = 3  # members of a larger one's main component that those outside it meet
-MIN_SHARED = 3  # bands a pair must share to be verified then; at 0.8 it shares fewer with a chance of 5e-4
+GROUP_MEMBERS = 4096  # members of an open bucket compared with as many others at a time
+GROUP_SHINGLES = 1 << 20  # of such members, and of the small buckets one task takes together
+SHARED_COLUMNS = 4096  # shingles counted at a time
 FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -380,48 +380,112 @@ def _sized(a: str, b: str, similarity: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * (similarity - 1e-9)
 
 
-def _open_rows(rows: DataFrame) -> DataFrame:
-    """Rows ``key, mark, …`` of the groups that hold several components, with their group's
-    ``size``, its most frequent component ``lead`` and how many members are of ``others``."""
-    each = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("here"))
-    groups = stage(each.groupBy("key").agg(
-        F.sum("here").alias("size"), F.max_by("root", F.struct("here", "root")).alias("lead"),
-        (F.sum("here") - F.max("here")).alias("others")).where("others > 0"), "groups")
-    return stage(rows.join(groups, "key"), "open")
+def _open_groups(rows: DataFrame) -> DataFrame:
+    """Buckets that hold several components: ``key``, the ``shingles`` of their members and the
+    ``blocks`` these are cut into."""
+    each = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("here"), F.sum("n").alias("shingles"))
+    return each.groupBy("key").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum("here").alias("size"), F.sum("shingles").alias("shingles")).where(
+        "roots > 1").select("key", "shingles", F.greatest(
+            F.ceil(F.col("size") / GROUP_MEMBERS), F.ceil(F.col("shingles") / GROUP_SHINGLES)).cast("int").alias("blocks"))
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set on the left has in common with each on the right, counted for
+    the hashes that both sides have, some thousand at a time."""
+    counts = np.zeros((len(left), len(right)), dtype=np.float32)  # exact up to 2**24 hashes
+    rows, hashes = [], []
+    for side in (left, right):
+        rows.append(np.repeat(np.arange(len(side)), [len(x) for x in side]))
+        hashes.append(np.concatenate(side))
+    both = np.intersect1d(*hashes)
+    for k in (0, 1):
+        at = np.minimum(np.searchsorted(both, hashes[k]), max(len(both) - 1, 0))
+        known = both[at] == hashes[k] if len(both) else np.zeros(len(hashes[k]), dtype=bool)
+        order = np.argsort(at[known], kind="stable")
+        rows[k], hashes[k] = rows[k][known][order], at[known][order]
+    for lo in range(0, len(both), SHARED_COLUMNS):
+        sides = []
+        for k, side in enumerate((left, right)):
+            a, b = np.searchsorted(hashes[k], (lo, lo + SHARED_COLUMNS))
+            held = np.zeros((len(side), min(SHARED_COLUMNS, len(both) - lo)), dtype=np.float32)
+            held[rows[k][a:b], hashes[k][a:b] - lo] = 1
+            sides.append(held)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def _linked_roots(rows: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray, at: int,
+                  similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Components of the similar pairs between members of one bucket, band ``at`` of theirs.
+
+    A pair that shares an earlier band is left to that band's bucket, which is open as well.
+    """
+    us, vs = [rows["root"][:0]], [rows["root"][:0]]
+    same = left is right
+    for lo in range(0, len(left), 256):
+        a = left[lo:lo + 256]
+        n_a, n_b = rows["n"][a][:, None], rows["n"][right][None, :]
+        met = rows["root"][a][:, None] != rows["root"][right][None, :]
+        met &= np.minimum(n_a, n_b) >= np.maximum(n_a, n_b) * (similarity - 1e-9)
+        if same:
+            met &= np.arange(lo, lo + len(a))[:, None] < np.arange(len(right))[None, :]
+        for k in range(at):
+            met &= rows["bands"][a, k][:, None] != rows["bands"][right, k][None, :]
+        i, j = np.nonzero(met.any(axis=1))[0], np.nonzero(met.any(axis=0))[0]
+        if not len(i):
+            continue
+        common = _common([rows["set"][x] for x in a[i]], [rows["set"][x] for x in right[j]]).astype(np.float64)
+        alike = met[np.ix_(i, j)] & (common / (n_a[i] + n_b[:, j] - common) >= similarity)
+        x, y = np.nonzero(alike)
+        u, v = forest(rows["root"][a[i[x]]], rows["root"][right[j[y]]])
+        us.append(u)
+        vs.append(v)
+    return forest(np.concatenate(us), np.concatenate(vs))
+
+
+def _compare_members(similarity: float):
+    def run(table: pa.Table) -> pa.Table:
+        rows = {c: table.column(c).to_numpy() for c in ("key", "at", "i", "j", "second", "n", "root", "set")}
+        rows["bands"] = np.stack(table.column("bands").to_numpy())
+        order = np.lexsort((rows["second"], rows["j"], rows["i"], rows["key"]))
+        parts = np.stack([rows[c][order] for c in ("key", "i", "j")])
+        starts = np.flatnonzero(np.r_[True, (parts[:, 1:] != parts[:, :-1]).any(axis=0)])
+        us, vs = [rows["root"][:0]], [rows["root"][:0]]
+        for members in np.split(order, starts[1:]):
+            left, right = (members[rows["second"][members] == side] for side in (0, 1))
+            if rows["i"][members[0]] == rows["j"][members[0]]:
+                right = left
+            if len(left) and len(right):
+                u, v = _linked_roots(rows, left, right, int(rows["at"][members[0]]), similarity)
+                us.append(u)
+                vs.append(v)
+        u, v = forest(np.concatenate(us), np.concatenate(vs))
+        return pa.table({"u": u, "v": v})
+    return run
 
 
-def _group_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs to look at within open groups: ``u, n_u, root_u, bands_u`` and the same of ``v``.
+def _group_links(rooted: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links ``u``, ``v`` between the components of all similar texts that share a band.
 
-    Members of a group of at most ``SMALL_GROUP`` meet all others. In a larger one those that
-    are not of its most frequent component meet ``HEADS`` of that, drawn by hash, and one
-    another if they are few, else as many of themselves; finer groups take care of the rest.
+    In every bucket that still holds several components each member meets all those of other
+    components, on the whole sets. Large buckets are compared block against block, each pair
+    of blocks in its own task; small ones are dealt out many to a task.
     """
-    side = ["mark", "n", "root", "bands"]
-    left = [F.col(c).alias("u" if c == "mark" else f"{c}_u") for c in side]
-    right = [F.col(c).alias("v" if c == "mark" else f"{c}_v") for c in side]
-    apart = F.col("root") != F.col("lead")
-    large = F.col("size") > SMALL_GROUP
-    whole = rows.where(~large | (apart & (F.col("others") <= SMALL_GROUP)))
-    pairs = whole.select("key", *left).join(whole.select("key", *right), "key").where("u < v").drop("key")
-    asked = rows.where(large & apart)
-    for drawn in (rows.where(large & ~apart), asked.where(F.col("others") > SMALL_GROUP)):
-        for k in range(HEADS):
-            heads = drawn.groupBy("key").agg(
-                F.min_by(F.struct(*side), F.xxhash64("mark", F.lit(k))).alias("head")).select("key", "head.*")
-            pairs = pairs.unionByName(
-                asked.select("key", *right).join(heads.select("key", *left), "key").drop("key"))
-    return pairs
-
-
-def _finer(rows: DataFrame) -> DataFrame:
-    """Members of large groups under longer keys, the group's band and one behind it; only
-    those that are not of the group's most frequent component, where they are many."""
-    large = rows.where((F.col("size") > SMALL_GROUP) & (F.col("others") > SMALL_GROUP)
-                       & (F.col("root") != F.col("lead")))
-    behind = F.slice("bands", F.col("at") + 2, F.lit(BANDS))
-    return large.select("mark", "n", "root", "bands", "key", "at", F.posexplode(behind).alias("next", "band")).select(
-        F.xxhash64("key", F.col("at") + 1 + F.col("next"), "band").alias("key"), "mark", "n", "root", "bands")
+    rows = rooted.select("mark", "root", "n", F.posexplode("bands").alias("at", "key"))
+    groups = stage(_open_groups(rows), "groups")
+    small = groups.where("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
+    tasks = max(1, -(-small // GROUP_SHINGLES))
+    members = rows.join(groups, "key").select("key", "at", "mark", "blocks").withColumn(
+        "block", F.pmod(F.xxhash64("mark"), F.col("blocks")).cast("int"))
+    pairs = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", "at", "mark", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("second"),
+        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(tasks))).otherwise(
+            F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))).alias("task"))
+    whole = rooted.select("mark", "n", "root", "bands").join(sets, "mark")
+    return pairs.join(whole, "mark").drop("mark").groupBy("task").applyInArrow(
+        _compare_members(similarity), "u long, v long")
 
 
 def _fingerprint_groups(marks: DataFrame) -> DataFrame:
@@ -443,11 +507,9 @@ def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SI
     at least ``similarity``; ``component_id`` is as in ``near_duplicates``. Candidates share
     a band of smallest hashes. First each text is verified, on the whole sets, with one
     other: of the heads of its buckets that with which it shares most bands. That leaves one
-    component of most groups of copies. Only buckets that still hold several components are
-    looked at again: small ones pairwise; in large ones the members outside the most frequent
-    component, with some of it, and with one another under keys of two bands. Of those pairs, the ones that share ``MIN_SHARED`` bands are verified.
-    Work grows with the number of texts, however many share a bucket. Equal sets meet as one
-    from the start, texts without words too.
+    component of most groups of copies. Then, in the buckets that still hold several components,
+    all pairs of texts of different components are verified (``_group_links``). Equal sets meet
+    as one from the start, texts without words too.
 
     With ``marked`` texts whose SimHash fingerprints are within 4 bits link as well, and first:
     what they connect is of one component before buckets are looked at again.
@@ -485,17 +547,7 @@ def near_copies(docs: DataFrame, words: int = COPY_WORDS, similarity: float = SI
         links = links.union(stage(_fingerprint_groups(marks), "links"))
     rooted = _rooted(distinct.select("mark", "n", "bands"), "mark", components(links))
 
-    rows = rooted.select("mark", "n", "root", F.posexplode("bands").alias("at", "key"))
-    coarse = _open_rows(rows).join(rooted.select("mark", "bands"), "mark")
-    coarse = stage(coarse, "coarse")
-    fine = _open_rows(_finer(coarse))
-    alike = F.aggregate(F.zip_with("bands_u", "bands_v", lambda x, y: F.when(x == y, 1).otherwise(0)),
-                        F.lit(0), lambda x, y: x + y)
-    met = _group_pairs(coarse).unionByName(_group_pairs(fine)).where("root_u <> root_v").where(
-        _sized("n_u", "n_v", similarity)).where(alike >= MIN_SHARED).select(
-        "u", "v", "root_u", "root_v").distinct()
-    joined = stage(similar(stage(met, "pairs")).select(
-        F.col("root_u").alias("u"), F.col("root_v").alias("v")), "links")
+    joined = stage(_group_links(rooted, sets, similarity), "links")
     whole = rooted.select("mark", F.col("root").alias("part"))
     if not joined.isEmpty():
         whole = _rooted(whole, "part", components(joined))

@@ -121,3 +121,29 @@ def test_windows_of_repeated_ids(spark):
     docs = spark.createDataFrame([(i, t, 1, "d") for i, t in rows], "doc_id long, text string, th int, digest string").repartition(3)
     got = substring.remove_repeats(docs).drop("kept").collect()
     assert sorted(map(tuple, got), key=str) == plain_removed(rows)
+
+
+def test_all_pairs_of_an_open_bucket_meet(spark, monkeypatch):
+    """Pairs among texts of shared boilerplate are linked whenever they share a band, brute force."""
+    rng = random.Random(8)
+    half = prose(rng, 110, NAMES)
+    texts = []
+    for _ in range(50):
+        own = prose(rng, 45, NAMES)
+        texts += [" ".join([half, own, prose(rng, 45, NAMES)]), " ".join([half, own, prose(rng, 45, NAMES)])]
+    sets = [simhash.shingle_set(t) for t in texts]
+    bands = [simhash.band_keys(s) for s in sets]
+    root, linked = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(set(sets[i].tolist()) & set(sets[j].tolist()))
+            if any(x == y for x, y in zip(bands[i], bands[j])) and common / (len(sets[i]) + len(sets[j]) - common) >= 0.55:
+                linked += 1
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert linked >= 40 and len(set(root)) >= 50
+    for members, shingles in ((simhash.GROUP_MEMBERS, simhash.GROUP_SHINGLES), (30, 9000)):
+        monkeypatch.setattr(simhash, "GROUP_MEMBERS", members)
+        monkeypatch.setattr(simhash, "GROUP_SHINGLES", shingles)
+        got = simhash.near_copies(docs_of(spark, texts), similarity=0.55).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(root))
